@@ -1,6 +1,7 @@
 """The queries of this subpackage, by name, and their SQL."""
 
+from .mixing import op2_mixing
 from .quality import OP3_SQL, op3_quality_rules
 
-QUERIES = {"op3_quality_rules": op3_quality_rules}
+QUERIES = {"op2_mixing": op2_mixing, "op3_quality_rules": op3_quality_rules}
 SQL = {"op3_quality_rules": OP3_SQL}
