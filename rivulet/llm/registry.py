@@ -1,7 +1,14 @@
 """The queries of this subpackage, by name, and their SQL."""
 
+from .minhash import op9_minhash
 from .mixing import op2_mixing
 from .quality import OP3_SQL, op3_quality_rules
+from .urls import OP7_SQL, op7_url_filter
 
-QUERIES = {"op2_mixing": op2_mixing, "op3_quality_rules": op3_quality_rules}
-SQL = {"op3_quality_rules": OP3_SQL}
+QUERIES = {
+    "op2_mixing": op2_mixing,
+    "op3_quality_rules": op3_quality_rules,
+    "op7_url_filter": op7_url_filter,
+    "op9_minhash": op9_minhash,
+}
+SQL = {"op3_quality_rules": OP3_SQL, "op7_url_filter": OP7_SQL}
