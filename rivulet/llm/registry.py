@@ -1,14 +1,18 @@
 """The queries of this subpackage, by name, and their SQL."""
 
+from .html import op1_html_extraction
 from .minhash import op9_minhash
 from .mixing import op2_mixing
 from .quality import OP3_SQL, op3_quality_rules
+from .toxicity import op8_toxicity
 from .urls import OP7_SQL, op7_url_filter
 
 QUERIES = {
+    "op1_html_extraction": op1_html_extraction,
     "op2_mixing": op2_mixing,
     "op3_quality_rules": op3_quality_rules,
     "op7_url_filter": op7_url_filter,
+    "op8_toxicity": op8_toxicity,
     "op9_minhash": op9_minhash,
 }
 SQL = {"op3_quality_rules": OP3_SQL, "op7_url_filter": OP7_SQL}
