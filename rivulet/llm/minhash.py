@@ -6,8 +6,10 @@
    linear in the members, pass a signature check and then the exact check on full sets of whole
    texts; verified pairs give components by alternating large-star and small-star.
 3. Losing no link: in each bucket with members of other components than the hub's, those members are
-   compared with all members of other components by signature, in tiles of bounded size, and then
-   exactly.  Pairs within one component need no comparison, so copies are never expanded to pairs.
+   compared with all members of other components by signature, in tiles of bounded size.  Members
+   with an agreeing partner are then compared exactly, by their sets' differences to the hub's set,
+   in the same tiles, which return a spanning forest of the links found.  Copies are never expanded
+   to pairs, and pairs within one component need no comparison.
 Missed by the bands: a pair at similarity 0.8 with probability (1 - 0.8^4)^25 = 2e-6.
 """
 
@@ -88,40 +90,134 @@ def _verified(width: int, percent: int):
     return run
 
 
-def _across(batches):
-    """Rows sorted by tile: (tile columns band, key, g, r), guest, rep, comp, sig -> (a, b) of agreeing pairs of different components."""
+def _forest(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Indices of the edges (a, b), in the order given, that join two trees: a spanning forest."""
+    parent: dict[int, int] = {}
+
+    def root(x):
+        while (y := parent.get(x, x)) != x:
+            parent[x] = x = parent.get(y, y)
+        return x
+
+    keep = []
+    for i, (x, y) in enumerate(zip(a.tolist(), b.tolist(), strict=True)):
+        x, y = root(x), root(y)
+        if x != y:
+            parent[x] = y
+            keep.append(i)
+    return np.array(keep, np.int64)
+
+
+def _by_tile(work):
+    """Batches sorted by their first four columns -> work(rows) for each run of equal values, as column lists."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        held, last = [], None
+        for batch in batches:
+            n = len(batch)
+            if not n:
+                continue
+            key = np.stack([np.asarray(batch.column(i)).astype(np.int64) for i in range(4)], 1)
+            cuts = np.concatenate([[0], np.flatnonzero((key[1:] != key[:-1]).any(1)) + 1, [n]])
+            for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+                k = tuple(key[lo])
+                if held and k != last:
+                    yield work(pa.Table.from_batches(held).combine_chunks().to_batches()[0])
+                    held = []
+                last = k
+                held.append(batch.slice(lo, hi - lo))
+        if held:
+            yield work(pa.Table.from_batches(held).combine_chunks().to_batches()[0])
+
+    return run
+
+
+def _candidates(tile):
+    """A tile's rows (band, key, g, r, guest, hub, rep, comp, sig) that agree with a row of another component, without sig."""
     import pyarrow as pa
 
-    def pairs(rows):
-        guest = np.concatenate([x[0] for x in rows])
-        rep, comp, sig = (np.concatenate([x[i] for x in rows]) for i in (1, 2, 3))
-        out = []
-        rest = ~guest
-        r2, c2, s2 = rep[rest], comp[rest], sig[rest]
-        for r, c, s in zip(rep[guest], comp[guest], sig[guest], strict=True):
-            hit = r2[(c2 != c) & ((s2 == s).sum(1) >= AGREE)]
-            out.append(np.stack([np.minimum(hit, r), np.maximum(hit, r)], 1))
-        got = np.unique(np.concatenate(out), axis=0) if out else np.zeros((0, 2), np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(got[:, 0]), pa.array(got[:, 1])], ["a", "b"])
-
-    held, last = [], None
-    for batch in batches:
-        n = len(batch)
-        if not n:
-            continue
-        key = np.stack([np.asarray(batch.column(i)).astype(np.int64) for i in range(4)], 1)
-        guest, rep, comp = (np.asarray(batch.column(i).to_numpy(zero_copy_only=False)) for i in (4, 5, 6))
-        sig = np.asarray(batch.column(7).flatten()).view(np.uint16).reshape(n, -1)
-        cuts = np.concatenate([[0], np.flatnonzero((key[1:] != key[:-1]).any(1)) + 1, [n]])
-        for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
-            k = tuple(key[lo])
-            if held and k != last:
-                yield pairs(held)
-                held = []
-            last = k
-            held.append((guest[lo:hi].astype(bool), rep[lo:hi], comp[lo:hi], sig[lo:hi]))
-    if held:
-        yield pairs(held)
+    guest, comp = (np.asarray(tile.column(i).to_numpy(zero_copy_only=False)) for i in (4, 7))
+    guest = guest.astype(bool)
+    sig = np.asarray(tile.column(8).flatten()).view(np.uint16).reshape(len(tile), -1)
+    keep, rest = np.zeros(len(tile), bool), np.flatnonzero(~guest)
+    for i in np.flatnonzero(guest):
+        hit = rest[comp[rest] != comp[i]]
+        hit = hit[(sig[hit] == sig[i]).sum(1) >= AGREE]
+        keep[hit] = True
+        keep[i] = len(hit) > 0
+    return pa.RecordBatch.from_arrays([tile.column(i).filter(pa.array(keep)) for i in range(8)], ["band", "key", "g", "r", "guest", "hub", "rep", "comp"])
+
+
+def _differences(width: int):
+    """(hub, rep, hub's text, rep's text) -> hub, rep, size of rep's set, symmetric difference of the two sets."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            (da, ata), (db, atb) = buffers(batch.column(2)), buffers(batch.column(3))
+            sizes, found, ends = [], [], [0]
+            for lo, hi in groups(ata + atb):
+                n = hi - lo
+                data = np.concatenate([da[ata[lo] : ata[hi]], db[atb[lo] : atb[hi]]])
+                at = np.concatenate([ata[lo : hi + 1] - ata[lo], atb[lo + 1 : hi + 1] - atb[lo] + (ata[hi] - ata[lo])])
+                h, owner = shingle_sets(data, at, width)
+                sizes.append(np.bincount(owner, minlength=2 * n)[n:])
+                pair = owner % n
+                order = np.lexsort((h, pair))
+                h, pair = h[order], pair[order]
+                same = np.zeros(len(h) + 1, bool)
+                same[1:-1] = (h[1:] == h[:-1]) & (pair[1:] == pair[:-1])
+                alone = ~(same[:-1] | same[1:])
+                found.append(h[alone].view(np.int64))
+                ends.extend((ends[-1] + np.cumsum(np.bincount(pair[alone], minlength=n))).tolist())
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(found) if found else np.zeros(0, np.int64)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.concatenate(sizes) if sizes else np.zeros(0, np.int64)), lists], ["hub", "rep", "size", "diff"])
+
+    return run
+
+
+def _exact(percent: int):
+    """A tile's rows (band, key, g, r, guest, rep, comp, size, diff) -> links (u, v) that join all its linked components.
+
+    Sets are compared exactly through their differences to the bucket's hub:
+    |A ^ B| = |A ^ H| + |B ^ H| - 2 |(A ^ H) & (B ^ H)|.
+    """
+
+    def work(tile):
+        import pyarrow as pa
+
+        guest = np.asarray(tile.column(4).to_numpy(zero_copy_only=False)).astype(bool)
+        rep, comp, size = (np.asarray(tile.column(i)) for i in (5, 6, 7))
+        lists = tile.column(8)
+        n = np.diff(np.asarray(lists.offsets))
+        item, inverse = np.unique(np.asarray(lists.flatten()), return_inverse=True)
+        row = np.repeat(np.arange(len(tile)), n)
+        often = np.bincount(inverse, minlength=len(item)) > 1
+        number = np.cumsum(often) - 1
+        row, col = row[often[inverse]], number[inverse[often[inverse]]]
+        order = np.argsort(col, kind="stable")
+        row, col = row[order], col[order]
+        g, m = np.flatnonzero(guest), np.flatnonzero(~guest)
+        at = np.zeros(len(tile), np.int64)
+        at[g], at[m] = np.arange(len(g)), np.arange(len(m))
+        both = np.zeros((len(g), len(m)), np.float32)
+        for lo in range(0, int(often.sum()), 2048):
+            i, j = np.searchsorted(col, [lo, lo + 2048])
+            x, y = np.zeros((len(g), 2048), np.float32), np.zeros((len(m), 2048), np.float32)
+            r, c = row[i:j], col[i:j] - lo
+            x[at[r[guest[r]]], c[guest[r]]] = 1
+            y[at[r[~guest[r]]], c[~guest[r]]] = 1
+            both += x @ y.T
+        apart = n[g][:, None] + n[m][None, :] - 2 * both.astype(np.int64)
+        total = size[g][:, None] + size[m][None, :]
+        a, b = np.nonzero((100 * (total - apart) >= percent * (total + apart)) & (comp[g][:, None] != comp[m][None, :]))
+        keep = _forest(comp[g[a]], comp[m[b]])
+        return pa.RecordBatch.from_arrays([pa.array(rep[g[a[keep]]]), pa.array(rep[m[b[keep]]])], ["u", "v"])
+
+    return work
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -149,31 +245,36 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     texts = stages.put(d.join(wanted, "doc_id", "left_semi"), "texts")
     sigs = reps.select("rep", "sig")
 
-    def check(pairs: DataFrame, name: str) -> DataFrame:
+    def check(pairs: DataFrame) -> DataFrame:
         """Exact check of (a, b) on whole texts."""
         x = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a").join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b")
-        return stages.put(x.select("a", "b", "ta", "tb").mapInArrow(_verified(width, percent), "u long, v long"), name)
+        return stages.put(x.select("a", "b", "ta", "tb").mapInArrow(_verified(width, percent), "u long, v long"), "hub-edges")
 
     hubs = stages.put(members.where("rep <> hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct(), "hub-pairs")
     hubs = hubs.join(sigs.select(F.col("rep").alias("b"), F.col("sig").alias("sb")), "b").join(sigs.select(F.col("rep").alias("a"), F.col("sig").alias("sa")), "a")
     hubs = stages.put(hubs.select("a", "b", "sa", "sb").mapInArrow(_agreeing, "a long, b long"), "hub-agree")
-    edges = check(hubs, "hub-edges")
+    edges = check(hubs)
     comp = stages.put(connected_components(edges, stages), "hub-components")
 
     #: buckets that still hold more than one component, beyond pairs that were checked as hub pairs
     m = members.where("n > 2").join(comp, members.rep == comp.id, "left").select("band", "key", "hub", "rep", F.coalesce("component", "rep").alias("comp"))
     hub_comp = comp.select(F.col("id").alias("hub"), F.col("component").alias("hub_comp"))
-    m = stages.put(m.join(hub_comp, "hub", "left").withColumn("guest", F.col("comp") != F.coalesce("hub_comp", "hub")), "tagged")
+    m = stages.put(m.join(hub_comp, "hub", "left").withColumn("guest", F.col("comp") != F.coalesce("hub_comp", "hub")).drop("hub_comp"), "tagged")
     mixed = m.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n_all"), F.sum(F.col("guest").cast("long")).alias("n_guest")).where("n_guest > 0")
     mixed = stages.put(mixed.select("band", "key", F.ceil(F.col("n_all") / TILE).cast("int").alias("nr"), F.ceil(F.col("n_guest") / TILE).cast("int").alias("ng")), "mixed")
     rows = m.join(mixed, ["band", "key"]).withColumn("h", F.xxhash64("rep"))
-    as_member = rows.select("band", "key", F.explode(F.sequence(F.lit(0), F.col("ng") - 1)).alias("g"), F.pmod("h", "nr").cast("int").alias("r"), F.lit(False).alias("guest"), "rep", "comp")
-    as_guest = rows.where("guest").select("band", "key", F.pmod("h", "ng").cast("int").alias("g"), F.explode(F.sequence(F.lit(0), F.col("nr") - 1)).alias("r"), "guest", "rep", "comp")
-    tiles = as_member.unionByName(as_guest).join(sigs, "rep").select("band", "key", "g", "r", "guest", "rep", "comp", "sig")
-    tiles = tiles.repartition("band", "key", "g", "r").sortWithinPartitions("band", "key", "g", "r")
-    pairs = stages.put(tiles.mapInArrow(_across, "a long, b long").distinct(), "across-pairs")
-    more = check(pairs, "across-edges")
-
+    tile = ["band", "key", "g", "r"]
+    as_member = rows.select("band", "key", F.explode(F.sequence(F.lit(0), F.col("ng") - 1)).alias("g"), F.pmod("h", "nr").cast("int").alias("r"), F.lit(False).alias("guest"), "hub", "rep", "comp")
+    as_guest = rows.where("guest").select("band", "key", F.pmod("h", "ng").cast("int").alias("g"), F.explode(F.sequence(F.lit(0), F.col("nr") - 1)).alias("r"), "guest", "hub", "rep", "comp")
+    tiles = as_member.unionByName(as_guest).join(sigs, "rep").select(*tile, "guest", "hub", "rep", "comp", "sig")
+    tiles = tiles.repartition(*tile).sortWithinPartitions(*tile)
+    kinds = "band int, key long, g int, r int, guest boolean, hub long, rep long, comp long"
+    cand = stages.put(tiles.mapInArrow(_by_tile(_candidates), kinds), "candidates")
+    ends = stages.put(cand.select("hub", "rep").distinct(), "ends")
+    ends = ends.join(texts.select(F.col("doc_id").alias("hub"), F.col("text").alias("th")), "hub").join(texts.select(F.col("doc_id").alias("rep"), F.col("text").alias("tr")), "rep")
+    diffs = stages.put(ends.select("hub", "rep", "th", "tr").mapInArrow(_differences(width), "hub long, rep long, size long, diff array<bigint>"), "differences")
+    exact = cand.join(diffs, ["hub", "rep"]).select(*tile, "guest", "rep", "comp", "size", "diff").repartition(*tile).sortWithinPartitions(*tile)
+    more = stages.put(exact.mapInArrow(_by_tile(_exact(percent)), "u long, v long"), "across-edges")
     comp = stages.put(connected_components(edges.unionByName(more), stages), "components")
     stages.drop(texts, members, buckets)
     out = sig.join(rep, same, "left").join(comp.select(F.col("id").alias("rep"), "component"), "rep", "left")
