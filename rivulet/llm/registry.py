@@ -3,6 +3,7 @@
 from .html import op1_html_extraction
 from .minhash import op9_minhash
 from .mixing import op2_mixing
+from .packing import op5_packing
 from .quality import OP3_SQL, op3_quality_rules
 from .toxicity import op8_toxicity
 from .urls import OP7_SQL, op7_url_filter
@@ -11,6 +12,7 @@ QUERIES = {
     "op1_html_extraction": op1_html_extraction,
     "op2_mixing": op2_mixing,
     "op3_quality_rules": op3_quality_rules,
+    "op5_packing": op5_packing,
     "op7_url_filter": op7_url_filter,
     "op8_toxicity": op8_toxicity,
     "op9_minhash": op9_minhash,
