@@ -38,17 +38,19 @@ class WordTokens:
     go to the tokenizer whole.
     """
 
-    def __init__(self, path: str, most: int = 300_000):
+    def __init__(self, path: str, most: int = 300_000, special_as_text: bool = False):
         from tokenizers import Tokenizer
 
         self.t, self.known, self.most = Tokenizer.from_file(path), {}, most
+        self.t.encode_special_tokens = special_as_text
+        self.special = () if special_as_text else _SPECIAL
 
     def _encode(self, texts: list[bytes]) -> list[bytes]:
         got = self.t.encode_batch_fast([x.decode("utf-8", "replace") for x in texts], add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in got]
 
     def __call__(self, text: bytes) -> bytes:
-        if any(s in text for s in _SPECIAL):
+        if any(s in text for s in self.special):
             return self._encode([text])[0]
         words, known = text.split(), self.known
         try:
