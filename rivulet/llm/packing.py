@@ -16,6 +16,7 @@
 from __future__ import annotations
 
 import math
+import re
 import zlib
 
 import numpy as np
@@ -23,44 +24,85 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Stages
-from .shingles import buffers
+from .shingles import buffers, groups
 
 CAPACITY = 2048
 ROUNDS, COLUMNS, STEP = 150, 64, 0.25
 _SPECIAL = (b"<|startoftext|>", b"<|endoftext|>")
 
 
+#: Letters of ASCII and Latin-1, and one mark after them: one or two pieces for the tokenizer, whatever is around.
+_LETTERS = re.compile(rb"((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([.,;:!?]?)")
+
+
 class WordTokens:
     """Ids of whole texts as little-endian uint32 bytes.
 
     The tokenizer splits at white space and each word's ids do not depend on its neighbours, so words
-    are encoded once and kept (up to ``most``, then afresh); texts with the strings of special tokens
-    go to the tokenizer whole.
+    are encoded once and kept: words of the last ``most`` new ones, and those met again since.  Words
+    of plain letters are encoded many at a time as one text; their ids part at the ids that end a
+    word.  Texts with the strings of special tokens go to the tokenizer whole.
     """
 
-    def __init__(self, path: str, most: int = 300_000, special_as_text: bool = False):
+    def __init__(self, path: str, most: int = 600_000, special_as_text: bool = False):
         from tokenizers import Tokenizer
 
-        self.t, self.known, self.most = Tokenizer.from_file(path), {}, most
+        self.t, self.most = Tokenizer.from_file(path), most
+        self.known: dict[bytes, bytes] = {}
+        self.before: dict[bytes, bytes] = {}
         self.t.encode_special_tokens = special_as_text
         self.special = () if special_as_text else _SPECIAL
+        vocab = self.t.get_vocab()
+        self.ends = np.zeros(max(vocab.values()) + 1, bool)
+        self.ends[[i for x, i in vocab.items() if x.endswith("</w>")]] = True
 
     def _encode(self, texts: list[bytes]) -> list[bytes]:
         got = self.t.encode_batch_fast([x.decode("utf-8", "replace") for x in texts], add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in got]
 
-    def __call__(self, text: bytes) -> bytes:
-        if any(s in text for s in self.special):
-            return self._encode([text])[0]
-        words, known = text.split(), self.known
-        try:
-            return b"".join([known[w] for w in words])
-        except KeyError:
-            if len(known) > self.most:
-                known.clear()
-            new = list({w for w in words if w not in known})
-            known.update(zip(new, self._encode(new), strict=True))
-            return b"".join([known[w] for w in words])
+    def _learn(self, new: list[bytes]) -> None:
+        words, cores, tails, odd = [], [], [], []
+        for w in new:
+            if m := _LETTERS.fullmatch(w):
+                words.append(w)
+                cores.append(m[1])
+                tails.append(m[2] and self._mark(m[2]))
+            else:
+                odd.append(w)
+        self.known.update(zip(odd, self._encode(odd), strict=True))
+        for i in range(0, len(cores), 2000):
+            part = cores[i : i + 2000]
+            data = self._encode([b" ".join(part)])[0]
+            cuts = 4 * np.flatnonzero(self.ends[np.frombuffer(data, "<u4")]) + 4
+            if len(cuts) != len(part):
+                raise ValueError("the tokenizer does not end each word of letters once")
+            hi = cuts.tolist()
+            ids = [data[a:b] + t for a, b, t in zip([0, *hi[:-1]], hi, tails[i : i + 2000], strict=True)]
+            self.known.update(zip(words[i : i + 2000], ids, strict=True))
+
+    def _mark(self, mark: bytes) -> bytes:
+        if (x := self.known.get(mark) or self.before.get(mark)) is None:
+            x = self._encode([mark])[0]
+        self.known[mark] = x
+        return x
+
+    def __call__(self, texts: list[bytes]) -> list[bytes]:
+        words = [None if any(s in t for s in self.special) else t.split() for t in texts]
+        known, before = self.known, self.before
+        new = set()
+        for ws in words:
+            if ws is not None:
+                for w in set(ws).difference(known):
+                    if w in before:
+                        known[w] = before[w]
+                    else:
+                        new.add(w)
+        if new:
+            self._learn(list(new))
+        out = [self._encode([t])[0] if ws is None else b"".join([known[w] for w in ws]) for t, ws in zip(texts, words, strict=True)]
+        if len(known) > self.most:
+            self.before, self.known = known, {}
+        return out
 
 
 def token_path(name: str = "word_bpe_49k.json") -> str:
@@ -69,6 +111,12 @@ def token_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def _each(tokens: WordTokens, data: np.ndarray, at: np.ndarray):
+    """(row, ids) of each text data[at[i]:at[i+1]]."""
+    for lo, hi in groups(at):
+        yield from zip(range(lo, hi), tokens([data[at[i] : at[i + 1]].tobytes() for i in range(lo, hi)]), strict=True)
+
+
 def _pieces(path: str, capacity: int):
     def run(batches):
         import os
@@ -80,8 +128,8 @@ def _pieces(path: str, capacity: int):
         for batch in batches:
             data, at = buffers(batch.column(1))
             row, piece, start, length, crc = [], [], [], [], []
-            for i in range(len(at) - 1):
-                ids = memoryview(tokens(data[at[i] : at[i + 1]].tobytes()) + b"\0\0\0\0")
+            for i, text in _each(tokens, data, at):
+                ids = memoryview(text + b"\0\0\0\0")
                 for k, s in enumerate(range(0, len(ids) // 4, capacity)):
                     part = ids[4 * s : 4 * (s + capacity)]
                     row.append(i)

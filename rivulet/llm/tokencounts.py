@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import Stages
-from .packing import WordTokens, token_path
+from .packing import WordTokens, _each, token_path
 from .shingles import buffers
 
 #: <|endoftext|> of the tokenizer; texts cannot contain it, since its string is encoded as ordinary text.
@@ -58,8 +58,8 @@ def write_token_blocks(docs: DataFrame, path: str | None = None, block: int = BL
             arrow = batch.column(0).type
             names = batch.column(0).to_pylist()
             data, at = buffers(batch.column(1))
-            for i, name in enumerate(names):
-                x = np.append(np.frombuffer(tokens(data[at[i] : at[i + 1]].tobytes()), "<u4"), END).astype("<u2")
+            for i, text in _each(tokens, data, at):
+                name, x = names[i], np.append(np.frombuffer(text, "<u4"), END).astype("<u2")
                 while size + len(x) >= block:
                     cut = block - size
                     if cut == len(x):
