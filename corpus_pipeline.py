@@ -47,8 +47,8 @@ def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them, dealt to shards and shuffled within each."""
-    _, copies, _ = mix(docs, carry=["text", "lang", "source", "n_chars"])
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))  # shards grow with the cluster's setting, so that each stays small
+    _, copies, _ = mix(docs, carry=["text", "lang", "source", "n_chars"], n_shards=max(64, n))
     return copies.repartition(n, "shard").sortWithinPartitions("shard", "place_key").select(COLUMNS)
 
 

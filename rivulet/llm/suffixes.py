@@ -32,9 +32,9 @@ from .shingles import U, buffers, groups, mix
 WINDOW, LEAD = 200, 32
 #: Different kinds of suffixes with the same leading bytes that a task compares at most.
 HOT = 100_000
-CHUNK = 40_000
+CHUNK = 8_000
 #: Bytes of a text that are sampled at a time; windows that cross pieces belong to the earlier.
-PIECE = 4_000_000
+PIECE = 1_000_000
 _RNG = np.random.default_rng(np.random.PCG64(90210))
 _BYTE = _RNG.integers(1, 2**63, 256, dtype=np.uint64) * U(2) + U(1)
 _BASE = 0xD6E8FEB86659FD93
@@ -111,7 +111,7 @@ def _segments(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarra
 
 def _pieces(data: np.ndarray, at: np.ndarray, window: int):
     """(first text, offset in it, bytes, bounds): texts together in groups, long ones in overlapping pieces."""
-    for lo, hi in groups(at):
+    for lo, hi in groups(at, PIECE):
         if at[hi] - at[lo] <= PIECE:
             yield lo, 0, data[at[lo] : at[hi]], at[lo : hi + 1] - at[lo]
         else:
@@ -176,7 +176,7 @@ def _sampled(window: int, lead: int):
                 p = (place - bounds[text] + offset) << 32 | (place - lo) << 24 | (hi - lo) << 16 | k2[row]
                 held.append([h, c, k1[row], p])
                 n += len(p)
-                if n > 1_000_000:
+                if n > 400_000:
                     yield out()
                     n = 0
         yield out()
@@ -311,13 +311,13 @@ def repeated(p: np.ndarray, texts: list[bytes], window: int) -> np.ndarray:
     size = np.array([len(t) for t in texts])
     flat = np.frombuffer(b"".join(texts), np.uint8)
     base = np.cumsum(size) - size
-    j = np.arange(span)
-    i = base[:, None] + left[:, None] + j
-    ok = j[None, :] < np.minimum(size - left, span)[:, None]
-    right[ok] = flat[i[ok]]
-    i = base[:, None] + left[:, None] - 1 - j
-    ok = j[None, :] < left[:, None]
-    back[ok] = flat[i[ok]]
+    j = np.arange(span, dtype=np.int32)
+    for a in range(0, m, 4096):  # a few rows at a time: the indices are larger than the bytes
+        r = slice(a, a + 4096)
+        ok = j[None, :] < np.minimum(size[r] - left[r], span)[:, None]
+        right[r][ok] = flat[((base[r] + left[r])[:, None] + j)[ok]]
+        ok = j[None, :] < left[r][:, None]
+        back[r][ok] = flat[((base[r] + left[r] - 1)[:, None] - j)[ok]]
     (ro, rc), (lo, lc) = _ranked(right), _ranked(back)
     flags = np.zeros((m, int(left.max()) + 1 if m else 1), bool)
     gr, gl = np.empty(m, np.int64), np.empty(m, np.int64)
