@@ -56,11 +56,8 @@ def dead_letters(processed: DataFrame) -> DataFrame:
 
 
 def from_log(log: DataFrame, denylist: DataFrame | None = None, deep: bool = False) -> DataFrame:
-    """The whole way from entries (valid ones) to processed operations."""
-    d = decode.with_names(log)
-    if denylist is not None:
-        d = filters.denylist_filter(d, denylist)
-    return process(flatten.flatten(d.drop("db", "coll"), denylist), deep)
+    """The whole way from entries (valid ones) to processed operations; flatten applies the denylist to entries and their operations alike, without a shuffle."""
+    return process(flatten.flatten(log, denylist), deep)
 
 
 def sharded(pubs: DataFrame, shards: int) -> DataFrame:

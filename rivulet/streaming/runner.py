@@ -41,6 +41,8 @@ def start(spark: SparkSession, config: Config, checkpoint: str, destinations: di
     def ordered(batch: DataFrame, batch_id: int) -> None:
         send(publish.ordered_per_db(batch, config.write_parallelism), batch_id)
 
+    if dedupe == "ttl":  # processing-time state would otherwise run empty micro-batches without end
+        spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
     w = pubs.writeStream.foreachBatch(ordered).option("checkpointLocation", checkpoint).outputMode("append")
     return (w.trigger(availableNow=True) if available_now else w.trigger(processingTime=f"{config.timestamp_flush_interval:g} seconds")).start()
 

@@ -23,6 +23,8 @@ def first_by_ttl(stream: DataFrame, ttl_s: float = TTL_S) -> DataFrame:
     """The first row of each key, by processing time, and the next one after ttl_s: exactly the batch operator's rule.
 
     Duplicates do not prolong the time.  Needs the RocksDB state store, whose time to live evicts keys.
+    Without spark.sql.streaming.noDataMicroBatches.enabled=false such a query runs empty micro-batches
+    on and on to clean its state.
     """
     from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
