@@ -33,6 +33,9 @@ _SPECIAL = (b"<|startoftext|>", b"<|endoftext|>")
 
 #: Letters of ASCII and Latin-1, and one mark after them: one or two pieces for the tokenizer, whatever is around.
 _LETTERS = re.compile(rb"((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([.,;:!?]?)")
+#: Lower case of those letters' bytes, and the three of the bytes that byte-level vocabularies write as other characters.
+_LOWER = bytes(b + 32 if 65 <= b <= 90 or 0x80 <= b <= 0x9E else b for b in range(256))
+_ALPHABET = tuple((chr(b), chr(256 + sum(not (33 <= x <= 126 or 161 <= x <= 172 or x >= 174) for x in range(b)))) for b in (0x9F, 0xA0, 0xAD))
 
 
 class WordTokens:
@@ -45,9 +48,11 @@ class WordTokens:
     """
 
     def __init__(self, path: str, most: int = 600_000, special_as_text: bool = False):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.t, self.most = Tokenizer.from_file(path), most
+        self.words = Tokenizer(self.t.model)  # for words of plain letters, which come in the model's own alphabet
+        self.words.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         self.known: dict[bytes, bytes] = {}
         self.before: dict[bytes, bytes] = {}
         self.t.encode_special_tokens = special_as_text
@@ -72,7 +77,10 @@ class WordTokens:
         self.known.update(zip(odd, self._encode(odd), strict=True))
         for i in range(0, len(cores), 2000):
             part = cores[i : i + 2000]
-            data = self._encode([b" ".join(part)])[0]
+            text = b" ".join(part).translate(_LOWER).decode("latin-1")
+            for a, b in _ALPHABET:
+                text = text.replace(a, b)
+            data = np.array(self.words.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4").tobytes()
             cuts = 4 * np.flatnonzero(self.ends[np.frombuffer(data, "<u4")]) + 4
             if len(cuts) != len(part):
                 raise ValueError("the tokenizer does not end each word of letters once")
@@ -89,17 +97,18 @@ class WordTokens:
     def __call__(self, texts: list[bytes]) -> list[bytes]:
         words = [None if any(s in t for s in self.special) else t.split() for t in texts]
         known, before = self.known, self.before
-        new = set()
+        new: set[bytes] = set()
         for ws in words:
             if ws is not None:
-                for w in set(ws).difference(known):
-                    if w in before:
-                        known[w] = before[w]
-                    else:
-                        new.add(w)
+                new.update(ws)
+        new.difference_update(known)
+        old = new.intersection(before)
+        known.update((w, before[w]) for w in old)
+        new -= old
         if new:
             self._learn(list(new))
-        out = [self._encode([t])[0] if ws is None else b"".join([known[w] for w in ws]) for t, ws in zip(texts, words, strict=True)]
+        get = known.__getitem__
+        out = [self._encode([t])[0] if ws is None else b"".join(map(get, ws)) for t, ws in zip(texts, words, strict=True)]
         if len(known) > self.most:
             self.before, self.known = known, {}
         return out
