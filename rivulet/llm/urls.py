@@ -42,30 +42,30 @@ def apply_rules(pages: DataFrame, rules=RULES) -> DataFrame:
     return pages.withColumns({"rule": rule, "rule_verdict": verdict})
 
 
-def reputation(outcomes: DataFrame, z: float = Z) -> DataFrame:
+def _strength(groups: DataFrame) -> tuple[float, float]:
+    """(bad rate, prior strength) of groups (n, x), by moments: one row for the driver."""
+    s = groups.agg(F.sum("n").alias("m"), F.sum("x").alias("k"), F.sum(F.col("n") * F.col("n")).alias("m2"), F.count(F.lit(1)).alias("g"), F.sum(F.col("x") * F.col("x") / F.col("n")).alias("xx"))
+    s = s.selectExpr(
+        "k / m as p",
+        f"""case when g < 2 or k = 0 or k = m then {STRENGTH[1]} else
+        greatest({STRENGTH[0]}, least({STRENGTH[1]}, (k / m) * (1 - k / m) / greatest(1e-9,
+          ((xx - k * (k / m)) - (g - 1) * (k / m) * (1 - k / m)) / (m - m2 / m)) - 1)) end as s""",
+    ).first()
+    return float(s["p"] or 0.0), float(s["s"] or STRENGTH[1])
+
+
+def reputation(outcomes: DataFrame, stages: Stages, z: float = Z) -> DataFrame:
     """outcomes (host, bad 0/1) -> (host, n, mean, low): posterior mean and lower bound of the bad rate."""
     host = outcomes.groupBy("host").agg(F.count(F.lit(1)).alias("n"), F.sum("bad").alias("x"))
-    host = host.withColumns({"domain": F.substring_index("host", ".", -2), "suffix": F.substring_index("host", ".", -1)})
-    domain = host.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("x").alias("x"))
-    suffix = domain.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("x").alias("x"))
-
-    def strength(groups: DataFrame) -> DataFrame:
-        s = groups.agg(F.sum("n").alias("m"), F.sum("x").alias("k"), F.sum(F.col("n") * F.col("n")).alias("m2"), F.count(F.lit(1)).alias("g"), F.sum(F.col("x") * F.col("x") / F.col("n")).alias("xx"))
-        return s.selectExpr(
-            "k / m as p",
-            f"""case when g < 2 or k = 0 or k = m then {STRENGTH[1]} else
-            greatest({STRENGTH[0]}, least({STRENGTH[1]}, (k / m) * (1 - k / m) / greatest(1e-9,
-              ((xx - k * (k / m)) - (g - 1) * (k / m) * (1 - k / m)) / (m - m2 / m)) - 1)) end as s""",
-        )
-
-    top = strength(suffix)
-    post = lambda t, s, prior: t.withColumn("mean", (F.col(s) * F.col(prior) + F.col("x")) / (F.col(s) + F.col("n")))
-    suffix = post(suffix.crossJoin(F.broadcast(top)), "s", "p").select("suffix", F.col("mean").alias("suffix_mean"))
-    domain = domain.crossJoin(F.broadcast(strength(domain).select("s"))).join(suffix, "suffix")
-    domain = post(domain, "s", "suffix_mean").select("domain", F.col("mean").alias("domain_mean"))
-    host = host.crossJoin(F.broadcast(strength(host).select("s"))).join(domain, "domain")
-    host = post(host, "s", "domain_mean")
-    return host.selectExpr("host", "n", "mean", f"mean - {z} * sqrt(mean * (1 - mean) / (s + n + 1)) as low")
+    host = stages.put(host.withColumns({"domain": F.substring_index("host", ".", -2), "suffix": F.substring_index("host", ".", -1)}), "outcomes")
+    domain = stages.put(host.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("x").alias("x")), "domains")
+    suffix = stages.put(domain.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("x").alias("x")), "suffixes")
+    (rate, s1), (_, s2), (_, s3) = _strength(suffix), _strength(domain), _strength(host)
+    mean = lambda s, prior: (F.lit(s) * prior + F.col("x")) / (F.lit(s) + F.col("n"))
+    suffix = suffix.select("suffix", mean(s1, F.lit(rate)).alias("suffix_mean"))
+    domain = domain.join(suffix, "suffix").select("domain", mean(s2, F.col("suffix_mean")).alias("domain_mean"))
+    host = host.join(domain, "domain").withColumn("mean", mean(s3, F.col("domain_mean")))
+    return host.selectExpr("host", "n", "mean", f"mean - {z} * sqrt(mean * (1 - mean) / ({s3!r}D + n + 1)) as low")
 
 
 def url_filter(pages: DataFrame, outcomes: DataFrame, rules=RULES, z: float = Z, cutoff: float = CUTOFF, carry: list[str] = ("page_id",)) -> DataFrame:
@@ -79,7 +79,7 @@ def url_filter(pages: DataFrame, outcomes: DataFrame, rules=RULES, z: float = Z,
     stages = Stages(pages.sparkSession, "urls")
     p = apply_rules(split_url(pages.select(*carry, "url")), rules).drop("url")
     # staged: its true size decides between broadcast and a join that AQE can split at a hot host
-    hosts = stages.put(reputation(outcomes, z).select("host", F.col("low").alias("bad_low")), "hosts")
+    hosts = stages.put(reputation(outcomes, stages, z).select("host", F.col("low").alias("bad_low")), "hosts")
     verdict = F.coalesce("rule_verdict", F.when(F.col("bad_low") > cutoff, "block").otherwise("allow"))
     return p.join(hosts, "host", "left").select(*carry, "host", "path", "rule", verdict.alias("verdict"), "bad_low")
 
