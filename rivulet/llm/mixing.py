@@ -128,11 +128,11 @@ def mix(docs: DataFrame, id_col: str = "doc_id", n_shards: int = 64, docs_per_bl
         n_words(F.col("text")).alias("size"), F.xxhash64(F.lit(seed), F.col(id_col)).alias("h"),
     )
     sized = stages.put(sized, "sized")
-    sources = stages.put(sized.groupBy("has_", "name_").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_docs")).coalesce(1), "sources")
+    sources = stages.put(sized.groupBy("has_", "name_").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_docs")), "sources")
     t = targets(sources).withColumn("n_blocks", F.least(F.lit(MAX_BLOCKS), F.ceil(F.col("n_docs") / docs_per_block)))
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size") + 1e-12)).otherwise(1).cast("long")
     t = t.withColumn("epochs", F.least(whole, F.lit(CAP).cast("long")))
-    t = stages.put(t.withColumn("rest", F.when(F.col("epochs") < CAP, F.col("target") - F.col("epochs") * F.col("source_size")).otherwise(0.0)).coalesce(1), "targets")
+    t = stages.put(t.withColumn("rest", F.when(F.col("epochs") < CAP, F.col("target") - F.col("epochs") * F.col("source_size")).otherwise(0.0)), "targets")
     d = sized.join(t.drop("n_docs"), ["has_", "name_"]).withColumn("block", F.pmod("h", "n_blocks"))
 
     blocks = stages.put(d.groupBy("rank", "block").agg(F.sum("size").alias("words"), F.max("rest").alias("rest")), "blocks")

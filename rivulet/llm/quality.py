@@ -140,7 +140,7 @@ def quality_rules(docs: DataFrame, carry: list[str] = ("doc_id",), min_group: in
     key = lambda c: F.when(F.col(c).isNull(), F.lit("")).otherwise(F.concat(F.lit("="), F.col(c)))
     keyed = docs.withColumns({"lang_": key("lang"), "source_": key("source")})
     d = stages.put(_rates(signals(keyed, [*carry, "lang_", "source_"])), "signals")
-    cut = stages.put(thresholds(stages.put(sketches(d), "sketches"), min_group, spread).coalesce(1), "thresholds")
+    cut = stages.put(thresholds(stages.put(sketches(d), "sketches"), min_group, spread), "thresholds")
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     passes = F.lit(True)
     for name, _, side in RULES:
