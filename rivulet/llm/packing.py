@@ -15,6 +15,7 @@
 
 from __future__ import annotations
 
+import functools
 import math
 import re
 import zlib
@@ -94,6 +95,12 @@ class WordTokens:
         self.known[mark] = x
         return x
 
+    def rest(self) -> None:
+        """Between tasks only a small memory stays."""
+        self.before = {}
+        if len(self.known) > self.most // 4:
+            self.known = {}
+
     def __call__(self, texts: list[bytes]) -> list[bytes]:
         words = [None if any(s in t for s in self.special) else t.split() for t in texts]
         known, before = self.known, self.before
@@ -120,6 +127,12 @@ def token_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+@functools.lru_cache(maxsize=2)
+def shared_tokens(path: str, special_as_text: bool = False) -> WordTokens:
+    """One WordTokens for the tasks of a worker process: loading a vocabulary takes longer than a small task."""
+    return WordTokens(path, special_as_text=special_as_text)
+
+
 def _each(tokens: WordTokens, data: np.ndarray, at: np.ndarray):
     """(row, ids) of each text data[at[i]:at[i+1]]."""
     for lo, hi in groups(at):
@@ -133,7 +146,7 @@ def _pieces(path: str, capacity: int):
         import pyarrow as pa
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        tokens = WordTokens(path)
+        tokens = shared_tokens(path)
         for batch in batches:
             data, at = buffers(batch.column(1))
             row, piece, start, length, crc = [], [], [], [], []
@@ -150,6 +163,7 @@ def _pieces(path: str, capacity: int):
                 [batch.column(0).take(pa.array(row, pa.int32())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())],
                 ["doc_id", "piece", "start", "length", "ids_crc32"],
             )
+        tokens.rest()
 
     return run
 

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import Stages
-from .packing import WordTokens, _each, token_path
+from .packing import _each, shared_tokens, token_path
 from .shingles import buffers
 
 #: <|endoftext|> of the tokenizer; texts cannot contain it, since its string is encoded as ordinary text.
@@ -47,7 +47,7 @@ def write_token_blocks(docs: DataFrame, path: str | None = None, block: int = BL
         from pyspark import TaskContext
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        tokens = WordTokens(path, special_as_text=True)
+        tokens = shared_tokens(path, special_as_text=True)
         file, number, held, size, ids = TaskContext.get().partitionId(), 0, [], 0, []
         arrow = None
 
@@ -75,6 +75,7 @@ def write_token_blocks(docs: DataFrame, path: str | None = None, block: int = BL
                     ids.append(name)
         if size:
             yield out(np.concatenate(held), ids)
+        tokens.rest()
 
     return docs.select("doc_id", "text").mapInArrow(run, f"file string, block long, data binary, doc_ids array<{kind.simpleString()}>")
 
