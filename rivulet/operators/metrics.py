@@ -104,6 +104,11 @@ class IntervalMaxByLabel:
         return {k: v for k, v in got.items() if v is not None}
 
 
+def head_staleness(batches: DataFrame, stale: Column) -> DataFrame:
+    """(ordinal, batch, staleness_s): of each batch's first publication (shard, batch, ts_t, ts_i, tx_idx), before it is sent."""
+    return batches.groupBy(F.col("shard").alias("ordinal"), "batch").agg(F.min_by(stale, F.struct("ts_t", "ts_i", "tx_idx")).alias("staleness_s"))
+
+
 def staleness(as_of: Column, wall: Column) -> Column:
     """Seconds from wall to as_of, 0 if the clocks disagree."""
     return F.greatest((F.unix_micros(as_of) - F.unix_micros(wall)) / 1e6, F.lit(0.0))

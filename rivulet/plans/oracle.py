@@ -162,6 +162,8 @@ SQL = {
         "interval_max": "SELECT database, status, ts_t // 60 * 60 AS window_start_s, ts_t // 60 * 60 + 60 AS visible_from_s, max(size) AS max_size FROM entries GROUP BY ALL",
         "interval_max_report": "SELECT database, status, max(size) AS max_size FROM entries WHERE ts_t // 3600 = (SELECT max(ts_t) // 3600 - 1 FROM entries) GROUP BY ALL",
         "last_staleness": "SELECT shard AS ordinal, arg_max(ts_i % 7, {'a': ts_t, 'b': ts_i, 'c': tx_idx}) AS staleness_s FROM sharded GROUP BY ALL",
+        "pre_retry_staleness": """SELECT ordinal, batch, ts_i % 7 AS staleness_s FROM (
+          SELECT shard AS ordinal, ts_i, row_number() OVER (PARTITION BY shard ORDER BY ts_t, ts_i, tx_idx) - 1 AS r, r // 25 AS batch FROM sharded) WHERE r % 25 = 0""",
         "unprocessable_count": "SELECT sum(bad)::BIGINT AS n FROM proc",
         "unprocessable_count_deep": "SELECT sum(2 * bad)::BIGINT AS n FROM proc",
         "processed_messages": "SELECT CASE WHEN arrival_s % 97 = 0 THEN 'failed' ELSE 'sent' END AS status, count(*) AS n FROM status GROUP BY ALL",

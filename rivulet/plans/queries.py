@@ -323,6 +323,11 @@ def last_staleness(spark, sf_dir):
     return p.groupBy(F.col("shard").alias("ordinal")).agg(F.max_by("s", F.struct("ts_t", "ts_i", "tx_idx")).alias("staleness_s"))
 
 
+def pre_retry_staleness(spark, sf_dir):
+    b = publish.batches(publish.sharded(_pubs(spark, sf_dir), SHARDS), 25)
+    return metrics.head_staleness(b, (F.col("ts_i") % 7).cast("long"))
+
+
 def resume_gap_histogram(spark, sf_dir):
     d = resume_decision(spark, sf_dir).where("decision in ('resume', 'end') and stored_t is not null").selectExpr("as_of_t - stored_t as gap_s", "if(decision = 'resume', 'success', 'too_old') as status")
     return metrics.histogram(d, "gap_s", metrics.GAP_BOUNDS, ["status"])
@@ -381,7 +386,7 @@ NAMES = (
     "fanout_destinations parse_sentinel_url denylist_apply denylist_state denylist_filter filter_crud_ops filter_commands flatten_transaction flatten_nested tx_index doc_id filter_system "
     "filter_config id_typing dead_letters event_name classify_ops update_kind shard_filter parallelism_key shard_assign parse_namespace changed_fields_insert changed_fields changed_fields_v1 "
     "changed_fields_v2_shallow changed_fields_v2_deep is_array_operator message_json channels channel_explode ts_encode ts_decode dedupe_key staleness log_projection entries_received entries_size "
-    "size_histogram filtered_count interval_max interval_max_report last_staleness resume_gap_histogram unprocessable_count processed_messages batch_assign batch_size_histogram "
+    "size_histogram filtered_count interval_max interval_max_report last_staleness pre_retry_staleness resume_gap_histogram unprocessable_count processed_messages batch_assign batch_size_histogram "
     "last_entry_staleness staleness_histogram oldest_pending_age ordered_per_db shard_route"
 ).split()
 

@@ -8,8 +8,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
-from ..operators import metrics  # noqa: F401  bounds of the metrics that listeners fill
-
 log = logging.getLogger(__name__)
 RETRIES, PAUSE_S = 30, 1.0
 
@@ -44,8 +42,8 @@ def table_sink(path: str) -> Callable[[DataFrame, int], None]:
     return send
 
 
-def fan_out_sink(destinations: dict[str, Callable[[DataFrame, int], None]], drop_after_retries: bool = False, retries: int = RETRIES, pause_s: float = PAUSE_S, sleep=time.sleep) -> Callable[[DataFrame, int], None]:
-    """For foreachBatch: the micro-batch, computed once, to every destination.
+def fan_out_sink(destinations: dict[str, Callable[[DataFrame, int], None]], drop_after_retries: bool = False, retries: int = RETRIES, pause_s: float = PAUSE_S, sleep=time.sleep, on_failure: Callable[[Exception], None] | None = None) -> Callable[[DataFrame, int], None]:
+    """For foreachBatch: the micro-batch, computed once, to every destination; on_failure hears of each failed try.
 
     A permanent failure fails the micro-batch, so the checkpoint does not pass it and it is sent again
     after a restart; with drop_after_retries it is logged and the batch is lost to that destination.
@@ -56,7 +54,7 @@ def fan_out_sink(destinations: dict[str, Callable[[DataFrame, int], None]], drop
         try:
             for name, to in destinations.items():
                 try:
-                    publish_with_retries(lambda b, to=to: to(b, batch_id), batch, retries, pause_s, sleep)
+                    publish_with_retries(lambda b, to=to: to(b, batch_id), batch, retries, pause_s, sleep, on_failure)
                 except PermanentFailure:
                     if not drop_after_retries:
                         raise
