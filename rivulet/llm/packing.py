@@ -32,8 +32,8 @@ ROUNDS, COLUMNS, STEP = 150, 64, 0.25
 _SPECIAL = (b"<|startoftext|>", b"<|endoftext|>")
 
 
-#: Letters of ASCII and Latin-1, and one mark after them: one or two pieces for the tokenizer, whatever is around.
-_LETTERS = re.compile(rb"((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([.,;:!?]?)")
+#: Letters of ASCII and Latin-1, and ASCII marks but the apostrophe after them: one or two pieces for the tokenizer, whatever is around.
+_LETTERS = re.compile(rb"((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([!-&(-/:-@\[-`{-~]*)")
 #: Lower case of those letters' bytes, and the three of the bytes that byte-level vocabularies write as other characters.
 _LOWER = bytes(b + 32 if 65 <= b <= 90 or 0x80 <= b <= 0x9E else b for b in range(256))
 _ALPHABET = tuple((chr(b), chr(256 + sum(not (33 <= x <= 126 or 161 <= x <= 172 or x >= 174) for x in range(b)))) for b in (0x9F, 0xA0, 0xAD))

@@ -283,7 +283,7 @@ def test_packing_odd(spark):
 
 def test_words_and_whole_texts_have_equal_ids():
     t = packing.WordTokens(packing.token_path(), most=3)
-    texts = ["It's A's  don't x9 12 İstanbul ſ K ﬁ Å é É H̱ x\u200bq<|endoftext|>z", "\x1c\x1d a\x85b c", "'S'T 'Ll'sx a's", "a.. b.! c?", "À×É ÷ ß ÿ. naïve, µ ª", "", "  ", "é. É\u00a0a b\u2003a\u3000b", "one two, one two. Three!"]
+    texts = ["It's A's  don't x9 12 İstanbul ſ K ﬁ Å é É H̱ x\u200bq<|endoftext|>z", "\x1c\x1d a\x85b c", "'S'T 'Ll'sx a's", "a.. b.! c?", "À×É ÷ ß ÿ. naïve, µ ª", "", "  ", "é. É\u00a0a b\u2003a\u3000b", "one two, one two. Three!", "a*** b### c%%% d&&& e$$$ f!! g_ h<| i\\ j`^ k'' l'.", "x.y z-- é*** ÀB!?"]
     for _ in range(2):
         for x, ids in zip(texts, t([x.encode() for x in texts]), strict=True):
             assert np.frombuffer(ids, "<u4").tolist() == t.t.encode(x, add_special_tokens=False).ids
