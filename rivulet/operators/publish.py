@@ -31,8 +31,8 @@ def process(ops: DataFrame, deep: bool = False) -> DataFrame:
     """
     d = decode.with_names(ops)
     too_deep = d.where(~F.col("op").isin(*filters.CRUD)).withColumns({"id_kind": F.lit(None).cast("string"), "id_text": F.lit(None).cast("string"), "id_value": F.lit(None).cast("string")})
-    d = filters.with_doc_id(d.where(F.col("op").isin(*filters.CRUD)))
-    d = filters.not_config(filters.not_system(d)).unionByName(too_deep)
+    d = filters.not_config(filters.not_system(d.where(F.col("op").isin(*filters.CRUD))))  # by name, before documents are read
+    d = filters.with_doc_id(d).unionByName(too_deep)
     error = F.when(~F.col("op").isin(*filters.CRUD), "transactions nested too deep").when(F.col("id_kind") == "unsupported", "unsupported document _id type")
     d = d.withColumns({"error": error, "e": filters.event_name(F.col("op")), "_c": documents.changed_fields(F.col("op"), F.col("o"), deep)})
     d = d.withColumns({"fields": F.col("_c.fields"), "n_bad": F.col("_c.n_bad")}).drop("_c")
