@@ -54,8 +54,12 @@ def _strength(groups: DataFrame) -> tuple[float, float]:
     return float(s["p"] or 0.0), float(s["s"] or STRENGTH[1])
 
 
-def reputation(outcomes: DataFrame, stages: Stages, z: float = Z) -> DataFrame:
-    """outcomes (host, bad 0/1) -> (host, n, mean, low): posterior mean and lower bound of the bad rate."""
+def reputation(outcomes: DataFrame, stages: Stages, z: float = Z, hosts: DataFrame | None = None) -> DataFrame:
+    """outcomes (host, bad 0/1) -> (host, n, mean, low): posterior mean and lower bound of the bad rate.
+
+    Of the hosts with outcomes, or of ``hosts`` (host, distinct): one without outcomes has n = 0 and the mean of its
+    domain, else its suffix, else the corpus.  No outcomes at all: no rows.
+    """
     host = outcomes.groupBy("host").agg(F.count(F.lit(1)).alias("n"), F.sum("bad").alias("x"))
     host = stages.put(host.withColumns({"domain": F.substring_index("host", ".", -2), "suffix": F.substring_index("host", ".", -1)}), "outcomes")
     domain = stages.put(host.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("x").alias("x")), "domains")
@@ -64,22 +68,31 @@ def reputation(outcomes: DataFrame, stages: Stages, z: float = Z) -> DataFrame:
     mean = lambda s, prior: (F.lit(s) * prior + F.col("x")) / (F.lit(s) + F.col("n"))
     suffix = suffix.select("suffix", mean(s1, F.lit(rate)).alias("suffix_mean"))
     domain = domain.join(suffix, "suffix").select("domain", mean(s2, F.col("suffix_mean")).alias("domain_mean"))
-    host = host.join(domain, "domain").withColumn("mean", mean(s3, F.col("domain_mean")))
+    if hosts is None:
+        host = host.join(domain, "domain")
+    elif host.isEmpty():
+        return host.selectExpr("host", "n", "0D as mean", "0D as low")
+    else:
+        named = hosts.withColumns({"domain": F.substring_index("host", ".", -2), "suffix": F.substring_index("host", ".", -1)})
+        host = named.join(host.select("host", "n", "x"), "host", "left").join(domain, "domain", "left").join(suffix, "suffix", "left")
+        host = host.withColumns({"n": F.coalesce("n", F.lit(0)), "x": F.coalesce("x", F.lit(0)), "domain_mean": F.coalesce("domain_mean", "suffix_mean", F.lit(rate))})
+    host = host.withColumn("mean", mean(s3, F.col("domain_mean")))
     return host.selectExpr("host", "n", "mean", f"mean - {z} * sqrt(mean * (1 - mean) / ({s3!r}D + n + 1)) as low")
 
 
-def url_filter(pages: DataFrame, outcomes: DataFrame, rules=RULES, z: float = Z, cutoff: float = CUTOFF, carry: list[str] = ("page_id",)) -> DataFrame:
+def url_filter(pages: DataFrame, outcomes: DataFrame, rules=RULES, z: float = Z, cutoff: float = CUTOFF, carry: list[str] = ("page_id",), unseen: bool = True) -> DataFrame:
     """pages (url, ...) judged: ``carry``, host, path, rule, verdict, bad_low.
 
-    outcomes: (host, bad), one row for each labelled page.  A host without outcomes is allowed (its
-    bound is its domain's prior at best); so are pages without a host.  Null url: empty host and
-    path, no rule, allowed.  Empty tables: no rows; no outcomes: rules alone decide.  Repeated rows
+    outcomes: (host, bad), one row for each labelled page.  A host without outcomes is judged by its
+    prior (``unseen``; without it such hosts have no bound and are allowed); pages without a host are
+    allowed.  Null url: empty host and path, no rule, allowed.  Empty tables: no rows; no outcomes: rules alone decide.  Repeated rows
     are judged alike.  Columns of pages that are not carried are dropped, clashing or not.
     """
     stages = Stages(pages.sparkSession, "urls")
     p = apply_rules(split_url(pages.select(*carry, "url")), rules).drop("url")
     # staged: its true size decides between broadcast and a join that AQE can split at a hot host
-    hosts = stages.put(reputation(outcomes, stages, z).select("host", F.col("low").alias("bad_low")), "hosts")
+    known = stages.put(p.where("host <> ''").select("host").distinct(), "known") if unseen else None
+    hosts = stages.put(reputation(outcomes, stages, z, known).select("host", F.col("low").alias("bad_low")), "hosts")
     verdict = F.coalesce("rule_verdict", F.when(F.col("bad_low") > cutoff, "block").otherwise("allow"))
     return p.join(hosts, "host", "left").select(*carry, "host", "path", "rule", verdict.alias("verdict"), "bad_low")
 
@@ -93,7 +106,8 @@ def labelled_outcomes(pages: DataFrame, labels: DataFrame) -> DataFrame:
 
 def op7_url_filter(spark, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
-    out = url_filter(pages, labelled_outcomes(pages, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+    # OP7_SQL defines this query's rows, and gives no bound to hosts without outcomes
+    out = url_filter(pages, labelled_outcomes(pages, spark.read.parquet(f"{sf_dir}/labels.parquet")), unseen=False)
     return out.select("page_id", "host", "path", "rule", "verdict")
 
 

@@ -366,6 +366,19 @@ def test_urls(spark):
     assert urls.url_filter(df.limit(0), outcomes).count() == 0
 
 
+def test_urls_unseen_hosts(spark):
+    """Hosts without labelled pages are judged by their domain, else their suffix, else the corpus."""
+    names = ["new.bad.x", "bad.x", "new.good.x", "other.x", "any.where", "", None]
+    df = spark.createDataFrame([(i, n and f"a://{n}/p") for i, n in enumerate(names)], "page_id long, url string")
+    rows = [("bad.x", 1)] * 400 + [("m.bad.x", 1)] * 300 + [("good.x", 0)] * 300 + [("sub.y", 0)] * 900
+    got = {r.page_id: r for r in urls.url_filter(df, spark.createDataFrame(rows, "host string, bad int")).collect()}
+    assert [got[i].verdict for i in range(7)] == ["block", "block", "allow", "allow", "allow", "allow", "allow"]
+    assert got[1].bad_low > got[0].bad_low > got[3].bad_low > got[4].bad_low  # less evidence, a milder level
+    assert got[5].bad_low is None and got[6].bad_low is None
+    off = {r.page_id: r.verdict for r in urls.url_filter(df, spark.createDataFrame(rows, "host string, bad int"), unseen=False).collect()}
+    assert off == {i: "block" if i == 1 else "allow" for i in range(7)}
+
+
 # --- 8 ---------------------------------------------------------------------------------------------
 
 
