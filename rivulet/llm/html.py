@@ -5,7 +5,8 @@
 2. Each page votes, by share of its score, for the generalised paths (tags with classes, digits
    replaced) of its best containers; votes are summed by host and path in Spark.
 3. Pages are extracted again from the containers on their host's winning path; a page without that
-   path, or without text there, uses its own best container.
+   path, or without text there, uses its own best container.  Each container is widened to the article
+   around it: title, introduction and further sections beside it are taken too.
 Menus, headers, footers, asides, forms, adverts, notices, comments and scripts never count.
 """
 
@@ -30,6 +31,7 @@ BLOCK = frozenset(
     "html head body address article aside blockquote center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr li main "
     "menu nav ol p pre section summary table tbody td tfoot th thead tr ul caption option title".split()
 )
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Blocks of text whose container is the block around them.
 PARAGRAPH = frozenset("p h1 h2 h3 h4 h5 h6 li blockquote pre dd dt td th tr figcaption summary ul ol dl table tbody".split())
 #: What an opening tag ends implicitly, and where the search for it stops.
@@ -182,13 +184,55 @@ class Page:
     def best(self, n: int = 3) -> list[tuple[int, float]]:
         return sorted(self.scores().items(), key=lambda x: (-x[1], x[0]))[:n]
 
-    def text(self, roots: set[int]) -> str:
+    def whole(self, roots: set[int]) -> tuple[set[int], set[int]]:
+        """roots widened to the articles they are part of, and nodes of which only their own text is.
+
+        A root in an article or main becomes that.  Above it, children beside it that are headings or mostly text
+        without links join, and the parent itself if all do.  Beside other articles, and right in the body, where
+        boxes of the page's layout stand, only headings and paragraphs join.
+        """
+        n = len(self.tag)
+        size, linked = [0] * n, [0] * n
+        for _, node, text, link in self.pieces:
+            if not self.drop[node] and (k := len(" ".join(text.split()))):
+                size[node] += k
+                linked[node] += k * link
+        children: list[list[int]] = [[] for _ in range(n)]
+        for i in range(n - 1, 0, -1):
+            p = self.parent[i]
+            size[p] += size[i]
+            linked[p] += linked[i]
+            children[p].append(i)
+        out, bare = set(), set()
+        for i in roots:
+            j = i
+            while j > 0 and self.tag[j] not in ("article", "main"):
+                j = self.parent[j]
+            i = j if j > 0 else i
+            out.add(i)
+            entire = True  # i and all beneath it is taken
+            while (p := self.parent[i]) >= 0:
+                beside = [c for c in children[p] if c != i and size[c]]
+                joins = {c for c in beside if self.tag[c] in HEADINGS or 2 * linked[c] <= size[c]}
+                if p == 0 or self.tag[p] in ("html", "body"):
+                    joins = {c for c in joins if self.tag[c] in PARAGRAPH}
+                if self.tag[i] == "article":
+                    joins = {c for c in joins if self.tag[c] != "article"}
+                inner = p > 0 and self.tag[p] not in ("html", "body")
+                entire &= inner and len(joins) == len(beside)
+                out |= {p} if entire else joins
+                if inner:
+                    bare.add(p)
+                i = p
+        return out, bare
+
+    def text(self, roots: set[int], bare: set[int] = frozenset()) -> str:
         within = [False] * len(self.tag)
         for i in range(len(self.tag)):
             within[i] = i in roots or i > 0 and within[self.parent[i]]
         blocks: dict[int, list[str]] = {}
         for block, node, text, _ in self.pieces:
-            if within[node] and not self.drop[node]:
+            if (within[node] or node in bare) and not self.drop[node]:
                 blocks.setdefault(block, []).append(text)
         lines = (" ".join("".join(x).split()) for x in blocks.values())
         return "\n".join(x for x in lines if x)
@@ -197,10 +241,10 @@ class Page:
         if path is not None:
             names = path.split("/")
             roots = {i for i in range(len(self.tag)) if self.block[i] and not self.drop[i] and self.name[i] == names[-1] and self.path(i) == path}
-            if roots and (text := self.text(roots)):
-                return text
+            if roots and self.text(roots):
+                return self.text(*self.whole(roots))
         best = self.best(1)
-        return self.text({best[0][0]}) if best else ""
+        return self.text(*self.whole({best[0][0]})) if best else ""
 
 
 def _votes(batches):

@@ -82,6 +82,23 @@ def test_html_consensus_beats_a_page(spark):
     assert got[9] == "short story"
 
 
+def test_html_whole_article(spark):
+    """Title, introduction and unequal sections around the largest container belong to the text."""
+    long, some = "long text " * 200, "some words " * 9
+    top = '<nav><a href=x>home</a></nav><div class="crumb"><a href=x>you are here</a></div>'
+    bodies = {
+        "a": (f'<article><h1>Title</h1><div class="entry-content"><p>{long}</p></div></article>', ["Title", long]),
+        "b": (f'<div class="post"><div class="intro"><p>{some}</p></div><div class="body"><p>{long}</p></div></div>', [some, long]),
+        "c": (f'<div class="story"><h1>Title</h1><section class="one"><p>{some}</p></section><section class="two"><p>{long}</p></section><section class="three"><p>{some}</p></section></div>', ["Title", some, long, some]),
+        "d": (f'<h1>Title</h1><div class="entry"><p>{long}</p></div><div class="links"><a href=x>{some}</a></div>', ["Title", long]),
+        "e": (f'<main><h1>Title</h1><article class="x"><div class="in"><p>{long}</p></div><p>{some}</p></article></main>', ["Title", long, some]),
+        "f": (f'<div class="post">Loose<div class="body"><p>{long}</p></div><div class="tags"><a href=x>{some}</a></div></div>', ["Loose", long]),
+    }
+    rows = [(10 * k + i, f"http://{h}.example/{i}", f"<html><body>{top}{b}<footer>f</footer></body></html>") for k, (h, (b, _)) in enumerate(bodies.items()) for i in range(3)]
+    got = {r.page_id: r.text for r in html.extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {10 * k + i: "\n".join(x.strip() for x in want) for k, (_, want) in enumerate(bodies.values()) for i in range(3)}
+
+
 def test_html_pages(spark):
     want = {}
     for i, h in table("pages", "page_id, html"):
