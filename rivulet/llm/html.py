@@ -42,15 +42,23 @@ DROPPED = frozenset(
 )
 KEPT = frozenset(("html", "body", "main", "article"))
 ROLES = frozenset("navigation banner contentinfo search complementary menu menubar dialog alert form".split())
-HINT = re.compile(
-    r"(?:^|[-_])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|sidebar|side|comments?|commentlist|disqus|repl(?:y|ies)|cookies?|consent|notices?|alert|gdpr|menu|nav\w*|breadcrumbs?|share|sharing|"
-    r"social|related|recommend\w*|newsletter|subscribe|popup|modal|overlay|footer|header|masthead|topbar|widget|pag(?:er|ination)|toolbar|login|signup|search|form)(?:[-_]|\d|$)", re.I
+HINTS = (
+    r"(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|sidebar|side|comments?|commentlist|disqus|repl(?:y|ies)|cookies?|consent|notices?|alert|gdpr|menu|nav\w*|breadcrumbs?|share|sharing|"
+    r"social|related|recommend\w*|newsletter|subscribe|popup|modal|overlay|footer|header|masthead|topbar|widget|pag(?:er|ination)|toolbar|login|signup|search|form)"
 )
+HINT = re.compile(rf"(?:^|[-_]){HINTS}(?:[-_]|\d|$)", re.I)
+#: Tokens of hint words alone, and those of readers' comments, which may outweigh the article.
+SURE = re.compile(rf"{HINTS}\d*(?:[-_]+(?:{HINTS}\d*|\d+))*", re.I)
+READERS = re.compile(r"(?:comment|disqus|repl(?:y|ies)(?:[-_\d]|$))", re.I)
+#: Tokens that hold a hint word and are none.
+SPARED = re.compile(r"(?:has|with|no)-|(?:post|entry|article|story)[-_]header$", re.I)
+TITLES = re.compile(r"(?:.*[-_])?(?:header|masthead)(?:[-_\d].*)?", re.I)
+UNSURE, CERTAIN, COMMENTS = 1, 2, 3
 
 
-def _drops(tag: str, attrs: str) -> tuple[bool, str]:
-    """(is boilerplate, generalised name): tag and classes with digits replaced."""
-    name, drop = tag, tag in DROPPED
+def _drops(tag: str, attrs: str) -> tuple[bool, int, bool, str]:
+    """(is boilerplate, how surely its classes and id hint at it, whether they hint at a header only, generalised name)."""
+    name, drop, hint, header = tag, tag in DROPPED, 0, True
     if attrs and not attrs.isspace():
         for m in ATTRIBUTE.finditer(attrs):
             key = m[1].lower()
@@ -69,8 +77,11 @@ def _drops(tag: str, attrs: str) -> tuple[bool, str]:
             else:
                 continue
             if tag not in KEPT:
-                drop |= any(HINT.search(t) and not t.lower().startswith(("has-", "with-", "no-")) for t in tokens)
-    return drop, name
+                for t in tokens:
+                    if HINT.search(t) and not SPARED.match(t):
+                        hint = max(hint, COMMENTS if READERS.match(t) else CERTAIN if SURE.fullmatch(t) else UNSURE)
+                        header &= TITLES.fullmatch(t) is not None
+    return drop, hint, hint > 0 and header, name
 
 
 class Page:
@@ -78,6 +89,7 @@ class Page:
 
     def __init__(self, html: str):
         self.tag, self.name, self.parent, self.drop, self.block = ["#"], [""], [-1], [False], [True]
+        self.hints: dict[int, tuple[int, bool]] = {}
         self.pieces: list[tuple[int, int, str, bool]] = []
         stack, block, at, links = [0], 0, 0, 0
         find = TOKEN.search
@@ -124,12 +136,14 @@ class Page:
                             break
                     elif t in STOPS and not (ends and t in ("td", "th")):
                         break
-            drop, name = _drops(tag, m[3] or m[6] or "")
+            drop, hint, header, name = _drops(tag, m[3] or m[6] or "")
             top = stack[-1]
+            if hint:
+                self.hints[len(self.tag)] = hint, header
             self.tag.append(tag)
             self.name.append(name)
             self.parent.append(top)
-            self.drop.append(drop or self.drop[top])
+            self.drop.append(drop)
             self.block.append(is_block)
             if tag in RAW:
                 close = re.compile(f"</{tag}", re.I).search(html, at)
@@ -140,18 +154,54 @@ class Page:
                 continue
             links += tag == "a"
             stack.append(len(self.tag) - 1)
-        self._headers()
+        titles = self._hinted() if self.hints else frozenset()
+        self._headers(titles)
 
-    def _headers(self) -> None:
-        """A header element is boilerplate, but for a level-one heading that stands inside an article or main."""
-        inside = [False] * len(self.tag)
+    def _hinted(self) -> set[int]:
+        """Drops what its classes or id hint at, but for wrappers of the article; returns the headers among it.
+
+        A wrapper holds a main; or all articles of the page or most of its text without links: with a hint of hint
+        words alone both, and with one of readers' comments neither makes it a wrapper.
+        """
+        n, titles = len(self.tag), set()
+        for sure in (True, False):
+            off = self.drop[:]
+            for i in range(1, n):
+                off[i] |= off[self.parent[i]]
+            size, articles, mains = [0] * n, [0] * n, [0] * n
+            for _, node, text, link in self.pieces:
+                if not (link or off[node]):
+                    size[node] += len(" ".join(text.split()))
+            for i in range(n - 1, 0, -1):
+                p = self.parent[i]
+                if not off[i]:
+                    articles[i] += self.tag[i] == "article"
+                    mains[i] += self.tag[i] == "main"
+                size[p] += size[i]
+                articles[p] += articles[i]
+                mains[p] += mains[i]
+            for i, (hint, header) in self.hints.items():
+                if off[i] or (hint != UNSURE) != sure:
+                    continue
+                most, every = 2 * size[i] > size[0], articles[i] > 0 and articles[i] == articles[0]
+                if not (mains[i] or hint == UNSURE and (most or every) or hint == CERTAIN and most and every):
+                    self.drop[i] = True
+                    if header:
+                        titles.add(i)
+        return titles
+
+    def _headers(self, titles) -> None:
+        """A header element, or one hinted at, is boilerplate, but for a level-one heading in one that stands inside an article or main."""
+        inside, spares = [False] * len(self.tag), [False] * len(self.tag)
         for i in range(1, len(self.tag)):
             p = self.parent[i]
             inside[i] = inside[p] or self.tag[p] in ("article", "main")
-            if self.tag[i] == "header" or self.tag[p] == "header" and self.drop[p] and not (self.tag[i] == "h1" and inside[i] and not self.drop[self.parent[p]]):
-                self.drop[i] = True
-            elif self.drop[p] and self.tag[p] != "header" and not self.drop[i]:
+            if self.tag[i] == "header" or i in titles:
+                spares[i] = inside[i] and not self.drop[p]
                 self.drop[i] = True
+            elif self.drop[p]:
+                spares[i] = spares[p] and not self.drop[i]
+                self.drop[i] = not (spares[i] and self.tag[i] == "h1")
 
     def path(self, i: int) -> str:
         names = []

@@ -99,6 +99,28 @@ def test_html_whole_article(spark):
     assert got == {10 * k + i: "\n".join(x.strip() for x in want) for k, (_, want) in enumerate(bodies.values()) for i in range(3)}
 
 
+def test_html_wrappers_with_hint_words():
+    """A hint word in a wrapper's class or id does not drop the article inside."""
+    text, side = "words of the article " * 20, '<div class="sidebar"><p>beside it</p></div>'
+    for c in ("content-sidebar-wrap", "page-with-sidebar", "layout-sidebar-right", "two-col-sidebar", "site_nav_left"):
+        for inner in (f'<main><p>{text}</p></main>', f'<article><p>{text}</p></article>', f'<div class="content"><p>{text}</p></div>'):
+            for attr in ("class", "id"):
+                assert html.Page(f'<body><div {attr}="{c}">{inner}{side}</div></body>').extract(None) == text.strip(), (c, inner)
+    for c in ("post-header", "entry_header", "header", "section-header"):
+        assert html.Page(f'<article><div class="{c}"><div><h1>Title</h1></div></div><p>{text}</p></article>').extract(None) == "Title\n" + text.strip()
+
+
+def test_html_hints_still_drop():
+    text = "words of the article " * 20
+    longer = f"<p>{text * 3}</p>"
+    for c in ("comments", "comments-area", "comment-list", "sidebar", "cookie-notice", "related2", "reply"):
+        assert html.Page(f'<body><article><p>{text}</p></article><div class="{c}">{longer}</div></body>').extract(None) == text.strip(), c
+    cards = "<article><p>card</p></article>"
+    for c in ("comments-area", "related-posts", "sidebar-right", "sidebar"):
+        assert html.Page(f'<body><article><p>{text}</p></article><div class="{c}">{cards * 3}</div></body>').extract(None) == text.strip(), c
+        assert html.Page(f'<body><div class="x"><p>{text}</p><div class="comments">{cards * 3}{longer}</div></div></body>').extract(None) == text.strip(), c
+
+
 def test_html_pages(spark):
     want = {}
     for i, h in table("pages", "page_id, html"):
