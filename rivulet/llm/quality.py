@@ -5,8 +5,14 @@ mergeable quantile sketch: counts by a log-linear bucket of the value (64 bucket
 two, a relative error below 1/64).  Sketches are sums, so they combine map-side, and the sketch of a
 language is the sum of its sources'.  A threshold is median + spread * (third quartile - median) +
 tolerance of the signal, read from the sketch of the document's (lang, source) where that has
-``min_group`` documents, else from its language's, else from the whole corpus's.  The thresholds
+``min_group`` documents, else from its language's, else from the whole corpus's.  Where a quarter of
+a group is bad its third quartile is a bad value, so its threshold is held to the larger of the next
+level's and the one with the spread of the group's good side (median - first quartile), which up to
+half of bad documents do not move.  The whole corpus's is held to its good side's.  The thresholds
 join back to the documents; a document is kept if it passes the base rules and every threshold.
+
+OP3_SQL has not this bound: its rows are the same where no group's third quartile is bad (so on
+sf0.001, sf0.01 and sf0.1), and it keeps junk in groups of which a quarter is.
 """
 
 from __future__ import annotations
@@ -120,11 +126,16 @@ def thresholds(sketch: DataFrame, min_group: int = MIN_GROUP, spread: int = SPRE
         )
         levels.append(q.select(*keys, "signal", *[F.col(c).alias(f"{c}_{level}") for c in ("q1", "q2", "q3", "total")]))
     t = levels[0].join(levels[1], ["lang_", "signal"]).join(levels[2], ["signal"])
-    pick = lambda c: F.when(F.col("total_0") >= min_group, F.col(f"{c}_0")).when(F.col("total_1") >= min_group, F.col(f"{c}_1")).otherwise(F.col(f"{c}_2"))
-    t = t.select("lang_", "source_", "signal", pick("q1").alias("q1"), pick("q2").alias("q2"), pick("q3").alias("q3"))
     fences = []
     for name, slack, side in RULES:
-        fence = F.col("q2") + spread * (F.col("q3") - F.col("q2")) + slack if side > 0 else F.col("q2") - spread * (F.col("q2") - F.col("q1")) - slack
+        tighter, looser = (F.least, F.greatest) if side > 0 else (F.greatest, F.least)
+        fence = None
+        for level in (2, 1, 0):
+            q1, q2, q3 = (F.col(f"{c}_{level}") for c in ("q1", "q2", "q3"))
+            bad, good = (q3 - q2, q2 - q1) if side > 0 else (q2 - q1, q3 - q2)
+            wide, robust = (q2 + side * (spread * x + slack) for x in (bad, good))
+            own = tighter(wide, robust if fence is None else looser(robust, fence))
+            fence = own if fence is None else F.when(F.col(f"total_{level}") >= min_group, own).otherwise(fence)
         fences.append(F.max(F.when(F.col("signal") == name, fence)).alias(f"{name}_{'hi' if side > 0 else 'lo'}"))
     return t.groupBy("lang_", "source_").agg(*fences)
 

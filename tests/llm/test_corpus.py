@@ -220,6 +220,18 @@ def test_quality_odd(spark):
     assert got == {i: i != 99 for i in got}
 
 
+@pytest.mark.parametrize("alone", [True, False])
+def test_quality_of_a_source_full_of_junk(spark, alone):
+    """30 % junk in a source of 300 does not lift its fence; a source where symbols are usual keeps its own."""
+    words = lambda i, n: [f"word{(i * 31 + j * 7) % 997}x{j}" for j in range(n)]
+    rows = [(i, " ".join(words(i, 60)) if i % 10 > 2 else " ".join(f"{w}$$$$" for w in words(i, 16 + i % 20)), "en", "a", 0) for i in range(300)]
+    if not alone:
+        rows += [(1000 + i, " ".join(w + "$" * (j < 18 + i % 7) for j, w in enumerate(words(i, 60))), "en", "code", 0) for i in range(250)]
+        rows += [(2000 + i, " ".join(words(i, 60)), "en", "b", 0) for i in range(1500)]
+    got = {r.doc_id: r.kept for r in quality.quality_rules(spark.createDataFrame(rows, DOCS)).collect()}
+    assert got == {i: i >= 300 or i % 10 > 2 for i in got} and len(got) == len(rows)
+
+
 def test_repeat_words(spark):
     r = random.Random(1)
     texts = [" ".join(r.choice("abc") for _ in range(r.randint(0, 40))) for _ in range(60)]
