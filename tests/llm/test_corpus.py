@@ -421,13 +421,37 @@ def test_urls_unseen_hosts(spark):
     """Hosts without labelled pages are judged by their domain, else their suffix, else the corpus."""
     names = ["new.bad.x", "bad.x", "new.good.x", "other.x", "any.where", "", None]
     df = spark.createDataFrame([(i, n and f"a://{n}/p") for i, n in enumerate(names)], "page_id long, url string")
-    rows = [("bad.x", 1)] * 400 + [("m.bad.x", 1)] * 300 + [("good.x", 0)] * 300 + [("sub.y", 0)] * 900
+    rows = [("bad.x", 1)] * 400 + [("m.bad.x", 1)] * 300 + [("m.bad.x", 0)] * 20 + [("good.x", 0)] * 300 + [("sub.y", 0)] * 900
     got = {r.page_id: r for r in urls.url_filter(df, spark.createDataFrame(rows, "host string, bad int")).collect()}
     assert [got[i].verdict for i in range(7)] == ["block", "block", "allow", "allow", "allow", "allow", "allow"]
     assert got[1].bad_low > got[0].bad_low > got[3].bad_low > got[4].bad_low  # less evidence, a milder level
     assert got[5].bad_low is None and got[6].bad_low is None
-    off = {r.page_id: r.verdict for r in urls.url_filter(df, spark.createDataFrame(rows, "host string, bad int"), unseen=False).collect()}
-    assert off == {i: "block" if i == 1 else "allow" for i in range(7)}
+
+
+def test_urls_of_a_bad_domain(spark):
+    """A new host of a domain whose hosts are all bad is blocked; a registered domain is not just two labels."""
+    good = [(f"h{i}.fine{i % 7}.com", int(j == 0)) for i in range(40) for j in range(30)]
+    good += [("www.fair.co.uk", 0)] * 300
+    bad = [(h, 1) for h in ("a.bad.com", "b.bad.com", "u@c.worse.co.uk:8080") for _ in range(300)]
+    names = ["new.bad.com", "new.bad.com:443", "other.worse.co.uk", "x.decent.co.uk", "h3.fine3.com", "new.fine2.com", "10.0.0.1", "b.bad.com."]
+    df = spark.createDataFrame([(i, f"http://{n}/p") for i, n in enumerate(names)] * 2, "page_id long, url string")
+    got = {r.page_id: r.verdict for r in urls.url_filter(df, spark.createDataFrame(good + bad, "host string, bad int"), carry=["page_id", "url"]).collect()}
+    assert [got[i] for i in range(8)] == ["block", "block", "block", "allow", "allow", "allow", "allow", "block"]
+
+
+@pytest.mark.parametrize("name, domain, suffix", [("a.b.example.org", "example.org", "org"), ("x.co.uk", "x.co.uk", "co.uk"), ("disco.uk", "disco.uk", "uk"), ("localhost", "localhost", "localhost"), ("10.0.0.1", "10.0.0.1", "10.0.0.1"), ("[::1]", "[::1]", "[::1]")])
+def test_registered_domains(spark, name, domain, suffix):
+    r = spark.range(1).select(F.lit(name).alias("n")).select(*(c.alias(k) for k, c in urls.registered(F.col("n")).items())).first()
+    assert (r.domain, r.suffix) == (domain, suffix)
+
+
+def test_urls_long_and_repeated(spark):
+    """A url of a megabyte and repeated rows; hosts that do not differ are judged alike."""
+    df = spark.createDataFrame([(1, "http://a.x/" + "p" * 1_000_000), (2, "http://b.x/q"), (2, "http://b.x/q")], "page_id long, url string")
+    same = spark.createDataFrame([(h, int(i % 4 == 0)) for h in ("a.x", "b.x") for i in range(40)], "host string, bad int")
+    got = urls.url_filter(df, same).collect()
+    assert sorted((r.page_id, len(r.path), r.verdict) for r in got) == [(1, 1_000_001, "allow"), (2, 2, "allow"), (2, 2, "allow")]
+    assert len({r.bad_low for r in got}) == 1
 
 
 # --- 8 ---------------------------------------------------------------------------------------------
