@@ -1,18 +1,21 @@
 """Mixing sources to target weights by a multivariate-hypergeometric splitting tree (native).
 
 1. Sizes in words and, by source, their sums; targets by water-filling (below).
-2. Blocks: a source's documents in the order of a seeded hash, about ``docs_per_block`` each.  An
-   epoch is one pass over all blocks of a source.  A source with target T and size S takes
-   floor(T / S) whole epochs and a part of one more: blocks in permuted order while they fit, then,
-   of the block at the boundary, documents from the largest down while they fit, and one more if
-   that comes nearer.  Documents are never cut.
-3. Splitting tree: the exact numbers of blocks taken of each source are the root.  Each node halves
-   its range of output shards and draws the left half's blocks of every source from the
-   multivariate hypergeometric distribution (a chain of exact hypergeometric draws, inverted from
-   log factorials with seeded uniforms); the right half gets the rest.  The leaves are quotas that
-   add up exactly.
-4. Draw: shards take consecutive, so disjoint, runs of each source's permuted blocks by their quotas;
-   documents are then ordered by a seeded hash within their shard.
+2. Blocks: a source's documents by a seeded hash of id and text, about ``docs_per_block`` each; rows
+   that are equal in both, which no hash parts, get blocks of their own beyond that number.  An epoch
+   is one pass over all blocks of a source.  A source with target T and size S takes floor(T / S)
+   whole epochs and a part of one more: blocks in permuted order while they fit and, of the block at
+   the boundary, documents in a drawn order, each that still fits, and one more if that comes
+   nearer; of several drawn orders the one that ends nearest counts.  Documents are never cut.
+3. Splitting tree: the exact numbers of blocks of each source are the root.  Each node halves its
+   range of output shards and draws the left half's blocks of every source from the multivariate
+   hypergeometric distribution (a chain of exact hypergeometric draws, inverted from log factorials
+   with seeded uniforms); the right half gets the rest.  The leaves are quotas that add up exactly.
+4. Draw: shards take consecutive, so disjoint, runs of each source's permuted blocks by their quotas.
+   What the mix takes of a document is what the shards drew of its block; copies are ordered by a
+   seeded hash within their shard.
+No step needs a source's documents or blocks in one task: running sums over permuted blocks are sums
+over slices of the permutation plus sums within a slice.
 """
 
 from __future__ import annotations
@@ -25,8 +28,10 @@ from pyspark.sql import functions as F
 from .common import SPACE, Stages
 
 CAP = 3
-#: A source has at most so many blocks; beyond, blocks grow.
-MAX_BLOCKS = 65_536
+#: Blocks in a slice of the permutation, and multiples of docs_per_block from which a block is searched for equal rows.
+SLICE, CROWDED = 2000, 8
+#: Drawn orders in which a boundary block's documents are tried.
+ORDERS = 32
 
 
 def n_words(text: Column) -> Column:
@@ -55,38 +60,34 @@ def targets(sources: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: int =
     return s.withColumn("target", t).drop("all_size", "capped", "open_weight", "level", "free", "water")
 
 
-def _log_factorial(x: Column) -> Column:
-    """ln x! : exact below 8, else Stirling's series (error below 1e-10)."""
-    y = x.cast("double")
-    stirling = (y + 0.5) * F.log(y) - y + 0.5 * math.log(2 * math.pi) + 1 / (12 * y) - 1 / (360 * y * y * y) + 1 / (1260 * y * y * y * y * y)
-    return F.when(x < 8, F.log(F.factorial(F.least(x, F.lit(8)).cast("int")).cast("double"))).otherwise(stirling)
+def _log_factorial(x: str) -> str:
+    """SQL of ln x! : exact below 8, else Stirling's series (error below 1e-10)."""
+    stirling = f"(y + 0.5D) * ln(y) - y + {0.5 * math.log(2 * math.pi)!r}D + 1D / (12 * y) - 1D / (360 * y * y * y) + 1D / (1260 * y * y * y * y * y)"
+    return f"transform(array(double({x})), y -> if(y < 8, ln(double(factorial(int(least(y, 8D))))), {stirling}))[0]"
 
 
-def _hypergeometric(good: Column, total: Column, draws: Column, u: Column) -> Column:
-    """A draw: how many of ``draws`` out of ``total`` things are among the ``good``; u is uniform in [0, 1).
+def _hypergeometric(good: str, total: str, draws: str, u: str) -> str:
+    """SQL of a draw: how many of ``draws`` out of ``total`` things are among the ``good``; u is uniform in [0, 1).
 
-    Inverts the distribution over its support within ten standard deviations.
+    Inverts the distribution over its support within ten standard deviations; each probability follows from the one before.
     """
-    low, high = F.greatest(F.lit(0).cast("long"), draws - (total - good)), F.least(good, draws)
-    share = good / F.greatest(total, F.lit(1))
-    mean, sd = draws * share, F.sqrt(draws * share * (1 - share))
-    first, last = F.greatest(low, F.floor(mean - 10 * sd - 3)), F.least(high, F.ceil(mean + 10 * sd + 3))
-    bad = total - good
-    choose = lambda n, k: _log_factorial(n) - _log_factorial(k) - _log_factorial(n - k)
-    weight = lambda k: F.exp(choose(good, k) + choose(bad, draws - k) - choose(total, draws))
-    found = F.aggregate(
-        F.sequence(first, last),
-        F.struct(F.lit(0.0).alias("upto"), first.cast("long").alias("k")),
-        lambda acc, k: F.struct((acc["upto"] + weight(k)).alias("upto"), F.when(acc["upto"] <= u, k).otherwise(acc["k"]).cast("long").alias("k")),
-    )
-    return F.when(first >= last, first.cast("long")).otherwise(found["k"])
-
-
-def split_quotas(counts: DataFrame, n_shards: int, seed: int, stages: Stages) -> DataFrame:
+    given = f"named_struct('g', {good}, 'b', {total} - {good}, 'd', {draws}, 't', {total}, 'm', {draws} * ({good} / greatest({total}, 1L)), 'u', {u})"
+    sd = "sqrt(x.m * (1 - x.g / greatest(x.t, 1L)))"
+    first = f"greatest(0L, x.d - x.b, bigint(floor(x.m - 10 * {sd} - 3)))"
+    last = f"least(x.g, x.d, bigint(ceil(x.m + 10 * {sd} + 3)))"
+    parts = [("+", "x.g"), ("-", "s.f"), ("-", "x.g - s.f"), ("+", "x.b"), ("-", "x.d - s.f"), ("-", "x.b - x.d + s.f"), ("-", "x.t"), ("+", "x.d"), ("+", "x.t - x.d")]
+    start = "exp(0D " + " ".join(f"{sign} {_log_factorial(v)}" for sign, v in parts) + ")"
+    step = "named_struct('upto', acc.upto + acc.w, 'w', acc.w * (x.g - k) * (x.d - k) / ((k + 1D) * (x.b - x.d + k + 1)), 'k', if(acc.upto <= x.u, k, acc.k))"
+    found = f"aggregate(sequence(s.f, s.l), named_struct('upto', 0D, 'w', {start}, 'k', s.f), (acc, k) -> {step}).k"
+    return f"transform(array({given}), x -> transform(array(named_struct('f', {first}, 'l', {last})), s -> if(s.f >= s.l, s.f, {found}))[0])[0]"
+
+
+def split_quotas(counts: DataFrame, n_shards: int, seed: int) -> DataFrame:
     """(shard, rank, quota, before): blocks of each source for each shard; before: those of earlier shards.
 
     counts: (rank, n_blocks), ranks from 1 without gaps.  One array of counts, one row a source, is
-    the root; mixtures are defined source by source, so it is as small as their definition.
+    the root; mixtures are defined source by source, so it is as small as their definition.  All levels
+    of the tree are one plan without a shuffle.
     """
     node = counts.agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "n_blocks"))), lambda x: x["n_blocks"].cast("long")).alias("c"))
     node = node.select(F.lit(0).alias("lo"), F.lit(n_shards).alias("hi"), "c")
@@ -95,16 +96,10 @@ def split_quotas(counts: DataFrame, n_shards: int, seed: int, stages: Stages) ->
         mid = ((F.col("lo") + F.col("hi")) / 2).cast("int")
         node = node.withColumns({"n": total, "mid": mid, "depth": F.lit(depth)})
         node = node.withColumn("draw", F.floor(F.col("n") * (F.col("mid") - F.col("lo")) / (F.col("hi") - F.col("lo"))).cast("long"))
-        zero = F.struct(F.col("n").alias("n"), F.col("draw").alias("draw"), F.array().cast("array<bigint>").alias("left"), F.lit(0).cast("long").alias("got"))
-
-        def step(acc, i):
-            good = F.get(F.col("c"), i)
-            u = F.pmod(F.xxhash64(F.lit(seed), F.col("depth"), F.col("lo"), i), F.lit(1 << 53)) / float(1 << 53)
-            k = _hypergeometric(good, acc["n"], acc["draw"], u)
-            return F.struct((acc["n"] - good).alias("n"), (acc["draw"] - k).alias("draw"), F.concat(acc["left"], F.array(k)).alias("left"), k.alias("got"))
-
-        node = node.withColumn("left", F.aggregate(F.sequence(F.lit(0), F.size("c") - 1), zero, step)["left"])
-        node = stages.put(node, f"tree{depth}")
+        k = _hypergeometric("c[i]", "so_far.n", "so_far.draw", f"pmod(xxhash64({seed}, depth, lo, i), {1 << 53}L) / {float(1 << 53)!r}D")
+        step = f"transform(array({k}), k -> named_struct('n', so_far.n - c[i], 'draw', so_far.draw - k, 'left', concat(so_far.left, array(k))))[0]"
+        zero = "named_struct('n', n, 'draw', draw, 'left', cast(array() as array<bigint>))"
+        node = node.withColumn("left", F.expr(f"aggregate(sequence(0, size(c) - 1), {zero}, (so_far, i) -> {step}).left"))
         leaf = F.array(F.struct("lo", "hi", "c"))
         halves = F.array(F.struct("lo", F.col("mid").alias("hi"), F.col("left").alias("c")), F.struct(F.col("mid").alias("lo"), "hi", F.zip_with("c", "left", lambda a, b: a - b).alias("c")))
         node = node.select(F.explode(F.when(F.col("hi") - F.col("lo") > 1, halves).otherwise(leaf)).alias("x")).select("x.*")
@@ -112,71 +107,123 @@ def split_quotas(counts: DataFrame, n_shards: int, seed: int, stages: Stages) ->
     return q.selectExpr("shard", "rank", "quota", "sum(quota) over (partition by rank order by shard) - quota as before")
 
 
+def _running(blocks: DataFrame, value: str) -> DataFrame:
+    """blocks (rank, slices, p, block, sub, ...) with upto: the sum of value over the source's blocks in the order of p, this one's included."""
+    b = blocks.withColumn("slice", F.expr("least(slices - 1, floor((p / 9223372036854775808D + 1) / 2 * slices))"))
+    before = b.groupBy("rank", "slice").agg(F.sum(value).alias("s")).selectExpr("rank", "slice", "sum(s) over (partition by rank order by slice) - s as before_")
+    return b.join(before, ["rank", "slice"]).withColumn("upto", F.expr(f"before_ + sum({value}) over (partition by rank, slice order by p, block, sub)")).drop("before_", "slice")
+
+
+def _shard_of(nth: Column, n_shards: int) -> Column:
+    """The last of runs (before, shard) with before <= nth: a binary search."""
+    lo_hi = F.struct(F.lit(0).alias("lo"), (F.size("runs") - 1).alias("hi"))
+
+    def step(acc, _):
+        mid = F.ceil((acc["lo"] + acc["hi"]) / 2).cast("int")
+        right = F.get("runs", mid)["before"] <= nth
+        return F.struct(F.when(right, mid).otherwise(acc["lo"]).alias("lo"), F.when(right, acc["hi"]).otherwise(F.greatest(mid - 1, acc["lo"])).alias("hi"))
+
+    found = F.aggregate(F.sequence(F.lit(0), F.lit(n_shards.bit_length())), lo_hi, step)["lo"]
+    return F.get("runs", found)["shard"]
+
+
+def _sums(d: DataFrame) -> DataFrame:
+    return d.groupBy("rank", "block", "sub").agg(F.sum("size").alias("words"), F.count(F.lit(1)).alias("n"), *(F.max(c).alias(c) for c in ("epochs", "rest", "slices")))
+
+
+def _parted(d: DataFrame, stages: Stages, docs_per_block: int) -> tuple[DataFrame, DataFrame]:
+    """(d (rank, block, h, row_) with sub, its blocks): sub is 0 but for rows of one hash that crowd a block, which get sub-blocks of their own."""
+    plain = d.withColumn("sub", F.lit(0).cast("long"))
+    blocks = stages.put(_sums(plain), "blocks")
+    over = blocks.where(F.col("n") > CROWDED * docs_per_block).select("rank", "block")
+    if over.isEmpty():
+        return plain, blocks
+    equal = d.join(over, ["rank", "block"], "left_semi").groupBy("rank", "h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > docs_per_block)
+    equal = stages.put(equal.select("rank", "h"), "equal")
+    # row_ was stored with the row: equal rows, which are interchangeable, are numbered by the task that wrote them, then within it
+    hot = d.join(equal, ["rank", "h"], "left_semi").withColumn("part", F.shiftright("row_", 33))
+    before = hot.groupBy("rank", "h", "part").agg(F.count(F.lit(1)).alias("k")).selectExpr("rank", "h", "part", "sum(k) over (partition by rank, h order by part) - k as before_")
+    hot = hot.selectExpr("*", "row_number() over (partition by rank, h, part order by row_) - 1 as r").join(before, ["rank", "h", "part"])
+    hot = hot.withColumn("sub", F.xxhash64("h", F.floor((F.col("r") + F.col("before_")) / docs_per_block))).drop("part", "r", "before_")
+    d = plain.join(equal, ["rank", "h"], "left_anti").unionByName(hot)
+    return d, stages.put(_sums(d), "parted-blocks")
+
+
+def _boundary(line: DataFrame) -> DataFrame:
+    """line (rank, block, sub, room, h, size, row_), the documents of boundary blocks -> row_ of those taken: of ORDERS drawn orders, the one that ends nearest."""
+    at = ["rank", "block", "sub", "order"]
+    a = line.withColumn("order", F.explode(F.sequence(F.lit(1), F.lit(ORDERS))))
+    a = a.groupBy(*at).agg(F.max("room").alias("room"), F.array_sort(F.collect_list(F.struct(F.xxhash64("h", "order").alias("o"), "size", "row_"))).alias("a"))
+    fits = lambda acc, x: x["size"] <= acc["room"]
+    fill = F.aggregate(
+        "a",
+        F.struct(F.col("room").alias("room"), F.array().cast("array<bigint>").alias("rows"), F.lit(None).cast("long").alias("next"), F.lit(None).cast("long").alias("gap")),
+        lambda acc, x: F.struct(
+            F.when(fits(acc, x), acc["room"] - x["size"]).otherwise(acc["room"]).alias("room"),
+            F.when(fits(acc, x), F.concat(acc["rows"], F.array(x["row_"]))).otherwise(acc["rows"]).alias("rows"),
+            F.when(fits(acc, x) | F.coalesce(acc["gap"] <= x["size"], F.lit(False)), acc["next"]).otherwise(x["row_"]).alias("next"),
+            F.when(fits(acc, x) | F.coalesce(acc["gap"] <= x["size"], F.lit(False)), acc["gap"]).otherwise(x["size"]).alias("gap"),
+        ),
+    )  # next: the smallest that did not fit, with its size
+    more = F.coalesce(F.col("f.gap") < 2 * F.col("f.room"), F.lit(False))
+    a = a.withColumn("f", fill).withColumn("rows", F.when(more, F.concat("f.rows", F.array("f.next"))).otherwise(F.col("f.rows")))
+    off = F.when(more, F.col("f.gap") - F.col("f.room")).otherwise(F.col("f.room"))
+    return a.groupBy(*at[:3]).agg(F.min_by("rows", F.struct(off.alias("off"), "order")).alias("rows")).select(F.explode("rows").alias("row_"))
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", n_shards: int = 64, docs_per_block: int = 32, seed: int = 20, carry: list[str] = ()) -> tuple[DataFrame, DataFrame, Stages]:
     """(per document, per copy): how the mix uses each row of docs.
 
-    Per document: id, ``carry``, size, source_size, target, epochs, extra (0 or 1), taken, src, block.
-    Per copy: the same with shard and place_key, by which to order within the shard.
-    Null text: size 0, taken 0 words (it goes with every epoch).  Null source: a source of its own.
-    Repeated rows are documents of their own; with equal ids they share a block, and copies of one
-    row are told apart by nothing but their number.  A source whose target equals a multiple of its
+    Per document: id, ``carry``, size, source_size, target, draws (epoch and shard of each copy), taken.
+    Per copy: id, ``carry``, size, epoch, shard and place_key, by which to order within the shard.
+    Null text: size 0, taken 0 words (it goes with its block).  Null source: a source of its own.
+    Null and repeated ids: rows are documents of their own; which of rows equal in id and text is
+    drawn is left open, how many of them is not.  A source whose target equals a multiple of its
     size takes whole epochs.  Empty table: no rows.  Reruns agree: every choice is a seeded hash.
     """
     stages = Stages(docs.sparkSession, "mixing")
     sized = docs.select(
         F.col(id_col).alias("doc_id"), *carry, F.col("source").isNotNull().alias("has_"), F.coalesce("source", F.lit("")).alias("name_"),
-        n_words(F.col("text")).alias("size"), F.xxhash64(F.lit(seed), F.col(id_col)).alias("h"),
+        n_words(F.col("text")).alias("size"), F.xxhash64(F.lit(seed), F.col(id_col), "text").alias("h"), F.monotonically_increasing_id().alias("row_"),
     )
     sized = stages.put(sized, "sized")
     sources = stages.put(sized.groupBy("has_", "name_").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_docs")), "sources")
-    t = targets(sources).withColumn("n_blocks", F.least(F.lit(MAX_BLOCKS), F.ceil(F.col("n_docs") / docs_per_block)))
+    t = targets(sources).withColumn("n_blocks", F.ceil(F.col("n_docs") / docs_per_block)).withColumn("slices", F.ceil(F.col("n_blocks") / SLICE))
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size") + 1e-12)).otherwise(1).cast("long")
     t = t.withColumn("epochs", F.least(whole, F.lit(CAP).cast("long")))
-    t = stages.put(t.withColumn("rest", F.when(F.col("epochs") < CAP, F.col("target") - F.col("epochs") * F.col("source_size")).otherwise(0.0)), "targets")
-    d = sized.join(t.drop("n_docs"), ["has_", "name_"]).withColumn("block", F.pmod("h", "n_blocks"))
-
-    blocks = stages.put(d.groupBy("rank", "block").agg(F.sum("size").alias("words"), F.max("rest").alias("rest")), "blocks")
-    blocks = blocks.selectExpr("*", "sum(words) over (partition by rank order by block) as upto")
-    blocks = blocks.withColumn("in_", F.col("upto") <= F.col("rest"))
-    blocks = blocks.withColumn("cut", ~F.col("in_") & (F.col("upto") - F.col("words") < F.col("rest"))).withColumn("room", F.col("rest") - (F.col("upto") - F.col("words")))
-    blocks = stages.put(blocks.select("rank", "block", "in_", "cut", "room"), "filled")
-    d = d.join(blocks, ["rank", "block"])
-
-    #: the boundary block of each source, 1 / n_blocks of its documents: from the largest while they fit
-    line = d.where("cut").groupBy("rank").agg(F.max("room").alias("room"), F.array_sort(F.collect_list(F.struct((-F.col("size")).alias("s"), "h"))).alias("a"))
-    fill = F.aggregate(
-        F.sequence(F.lit(0), F.size("a") - 1),
-        F.struct(F.col("room").alias("room"), F.array().cast("array<int>").alias("i"), F.lit(-1).alias("next"), F.lit(1e18).alias("gap")),
-        lambda acc, i: F.when(
-            -F.get(F.col("a"), i)["s"] <= acc["room"],
-            F.struct((acc["room"] + F.get(F.col("a"), i)["s"]).alias("room"), F.concat(acc["i"], F.array(i)).alias("i"), acc["next"].alias("next"), acc["gap"].alias("gap")),
-        ).otherwise(F.struct(acc["room"].alias("room"), acc["i"].alias("i"), i.alias("next"), (-F.get(F.col("a"), i)["s"]).cast("double").alias("gap"))),
-    )  # next: the smallest that did not fit, with its size
-    line = line.withColumn("f", fill).withColumn("i", F.when((F.col("f.next") >= 0) & (F.col("f.gap") < 2 * F.col("f.room")), F.concat("f.i", F.array("f.next"))).otherwise(F.col("f.i")))
-    picked = line.select("rank", F.posexplode("a").alias("i_", "x"), F.col("i").alias("taken_i")).where("array_contains(taken_i, i_)")
-    picked = stages.put(picked.groupBy("rank", F.col("x.s").alias("s"), F.col("x.h").alias("h")).agg(F.count(F.lit(1)).alias("m")), "picked")
-    d = d.withColumn("s", -F.col("size"))
-    cut = d.where("cut").join(picked, ["rank", "s", "h"], "left")
-    cut = cut.selectExpr("*", "row_number() over (partition by rank, s, h order by doc_id) as nth").withColumn("extra", (F.col("nth") <= F.coalesce("m", F.lit(0))).cast("long")).drop("m", "nth")
-    rest = d.where("not cut").withColumn("extra", F.col("in_").cast("long"))
-    d = rest.unionByName(cut).drop("s", "in_", "cut", "room", "rest", "weight", "has_")
-    d = d.withColumn("taken", F.col("size") * (F.col("epochs") + F.col("extra")))
-    d = stages.put(d, "documents")
-
-    #: blocks of each source as the mix takes them: whole epochs, then the part of one
-    unit = d.withColumn("epoch", F.explode(F.when(F.col("epochs") + F.col("extra") > 0, F.sequence(F.lit(1).cast("long"), F.col("epochs") + F.col("extra"))).otherwise(F.array().cast("array<bigint>"))))
-    drawn = stages.put(unit.select("rank", "epoch", "block").distinct(), "drawn")
-    order = drawn.selectExpr("*", f"row_number() over (partition by rank order by xxhash64({seed}, epoch, block), epoch, block) - 1 as nth")
-    order = stages.put(order, "order")
-    ranks = t.select("rank").join(order.groupBy("rank").agg(F.count(F.lit(1)).alias("n_blocks")), "rank", "left").fillna(0, ["n_blocks"])
-    quotas = stages.put(split_quotas(ranks, n_shards, seed, stages).where("quota > 0"), "quotas")
-    runs = quotas.groupBy("rank").agg(F.array_sort(F.collect_list(F.struct("before", "shard"))).alias("runs"))
-    placed = order.join(runs, "rank").withColumn("shard", F.filter("runs", lambda r: r["before"] <= F.col("nth"))).withColumn("shard", F.element_at("shard", -1)["shard"])
-    placed = stages.put(placed.select("rank", "epoch", "block", "shard"), "placed")
-    copies = unit.join(placed, ["rank", "epoch", "block"]).withColumn("place_key", F.xxhash64(F.lit(seed + 1), "doc_id", "epoch"))
+    t = t.withColumn("rest", F.when(F.col("epochs") < CAP, F.col("target") - F.col("epochs") * F.col("source_size")).otherwise(0.0))
+    t = stages.put(t.drop("n_docs", "weight"), "targets")
+    d, blocks = _parted(sized.join(t, ["has_", "name_"]).withColumn("block", F.pmod("h", "n_blocks")), stages, docs_per_block)
+
+    permuted = lambda epoch: F.xxhash64(F.lit(seed), epoch, "block", "sub")
+    blocks = _running(blocks.withColumn("p", permuted(F.col("epochs") + 1)), "words")
+    room = F.col("rest") - (F.col("upto") - F.col("words"))
+    blocks = blocks.withColumn("cut", (F.col("upto") > F.col("rest")) & (room > 0)).withColumn("part", (F.col("rest") > 0) & ((F.col("upto") <= F.col("rest")) | F.col("cut")))
+    blocks = stages.put(blocks.select("rank", "block", "sub", "slices", "epochs", "part", "cut", room.alias("room")), "filled")
+    cut = blocks.where("cut").select("rank", "block", "sub", "room")
+    # about docs_per_block documents of one block a source
+    picked = stages.put(_boundary(d.join(cut, ["rank", "block", "sub"]).select("rank", "block", "sub", "room", "h", "size", "row_")), "picked")
+
+    n = F.col("epochs") + F.col("part").cast("long")
+    drawn = blocks.withColumn("epoch", F.explode(F.when(n > 0, F.sequence(F.lit(1).cast("long"), n)).otherwise(F.array().cast("array<bigint>"))))
+    drawn = drawn.select("rank", "block", "sub", "slices", "epoch", (F.col("cut") & (F.col("epoch") > F.col("epochs"))).alias("some"))
+    counts = t.select("rank").join(drawn.groupBy("rank").agg(F.count(F.lit(1)).alias("n_blocks")), "rank", "left").fillna(0, ["n_blocks"])
+    quotas = split_quotas(counts, n_shards, seed).where("quota > 0")
+    runs = stages.put(quotas.groupBy("rank").agg(F.array_sort(F.collect_list(F.struct("before", "shard"))).alias("runs")), "quotas")
+    order = _running(drawn.withColumn("p", permuted(F.col("epoch"))).withColumn("one", F.lit(1).cast("long")), "one")
+    placed = order.join(runs, "rank").withColumn("shard", _shard_of(F.col("upto") - 1, n_shards))
+    draws = placed.groupBy("rank", "block", "sub").agg(F.array_sort(F.collect_list(F.struct("epoch", "shard", "some"))).alias("draws"))  # at most CAP
+    draws = stages.put(draws, "draws")
+
+    d = d.join(draws, ["rank", "block", "sub"], "left").join(picked.withColumn("picked", F.lit(True)), "row_", "left")
+    got = F.filter("draws", lambda x: ~x["some"] | F.coalesce("picked", F.lit(False)))
+    d = d.withColumn("draws", F.coalesce(F.transform(got, lambda x: F.struct(x["epoch"].alias("epoch"), x["shard"].alias("shard"))), F.array().cast("array<struct<epoch:bigint,shard:int>>")))
+    d = d.select("doc_id", *carry, "size", "source_size", "target", "draws", (F.col("size") * F.size("draws")).alias("taken"))
+    copies = d.select("doc_id", *carry, "size", F.explode("draws").alias("x")).select("doc_id", *carry, "size", "x.epoch", "x.shard", F.xxhash64(F.lit(seed + 1), "doc_id", "x.epoch").alias("place_key"))
     return d, copies, stages
 
 
 def op2_mixing(spark, sf_dir: str) -> DataFrame:
-    d, copies, _ = mix(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    """taken is what the shards drew: the sum over the document's copies."""
+    d, _, _ = mix(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return d.select("doc_id", "size", "source_size", "target", "taken")

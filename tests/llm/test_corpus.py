@@ -165,10 +165,52 @@ def test_mixing(spark):
         taken[s] += r.taken
         assert r.source_size == size[s] and abs(r.target - want[s]) < 1e-6
     assert all(abs(taken[s] - want[s]) <= 0.02 * size[s] + 5 for s in size), (taken, want)
-    n = Counter(r.doc_id for r in copies.collect())
-    assert all(n[r.doc_id] == r.epochs + r.extra for r in a)
+    drawn = copies.collect()
+    words = defaultdict(int)
+    for r in drawn:
+        words[r.doc_id] += r["size"]
+    assert all(words[r.doc_id] == r.taken for r in a) and len({(r.doc_id, r.epoch) for r in drawn}) == len(drawn)
+    assert {r["shard"] for r in drawn} == set(range(8))
     again = {r.doc_id: r.taken for r in mixing.mix(df.repartition(7), n_shards=8)[0].collect()}
     assert again == {r.doc_id: r.taken for r in a}
+    other = {r.doc_id: r.taken for r in mixing.mix(df, n_shards=8, seed=21)[0].collect()}
+    assert other != again
+
+
+def test_mixing_follows_the_draw(spark, monkeypatch):
+    """What a shard does not draw is not taken: the query's rows come from the tree's quotas."""
+    whole = mixing.split_quotas
+    monkeypatch.setattr(mixing, "split_quotas", lambda c, n, seed: whole(c, n, seed))
+    full = {r.doc_id: len(r.draws) for r in mixing.mix(spark.read.parquet(f"{SF}/documents.parquet"), n_shards=4, docs_per_block=2)[0].collect()}
+    monkeypatch.setattr(mixing, "_shard_of", lambda nth, n: F.when(nth % 2 == 0, 0).otherwise(1))
+    d, copies, _ = mixing.mix(spark.read.parquet(f"{SF}/documents.parquet"), n_shards=4, docs_per_block=2)
+    assert {r.doc_id: len(r.draws) for r in d.collect()} == full and {r["shard"] for r in copies.select("shard").distinct().collect()} == {0, 1}
+
+
+def test_mixing_shards_hold_their_quotas(spark):
+    """Blocks by shard and source are the leaves of the tree, and shards share no block copy."""
+    df = spark.range(600).select(F.col("id").alias("doc_id"), F.expr("repeat('w ', 10)").alias("text"), F.expr("concat('s', id % 3)").alias("source"))
+    _, copies, _ = mixing.mix(df, n_shards=7, docs_per_block=1, seed=3)
+    got = Counter((r["shard"], r.doc_id % 3) for r in copies.collect())
+    counts = Counter(r.doc_id % 3 for r in copies.collect())
+    assert all(sum(n for (_, s), n in got.items() if s == k) == counts[k] for k in counts)
+    sizes = [sum(n for (s, _), n in got.items() if s == k) for k in range(7)]
+    assert max(sizes) - min(sizes) <= 40 and min(sizes) > 0
+
+
+def test_mixing_equal_rows(spark):
+    """A third of all rows equal in id and text: no block holds them all, and their number is drawn, not their order."""
+    rows = [(None, "one two three", "a", i) for i in range(700)] + [(i, f"w{i} " * (i % 9 + 1), "ab"[i % 2], 0) for i in range(1400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, n int").repartition(5)
+    d, _, _ = mixing.mix(df, n_shards=4, docs_per_block=4)
+    a = d.collect()
+    assert len(a) == len(rows) and {r.source_size for r in a} == {sum(len(WORD.findall(t)) for _, t, s, _ in rows if s == x) for x in "ab"}
+    for size in {r.source_size for r in a}:
+        own = [r for r in a if r.source_size == size]
+        assert abs(sum(r.taken for r in own) - own[0].target) <= 3
+    again = mixing.mix(df.repartition(3), n_shards=4, docs_per_block=4)[0].collect()
+    key = lambda x: Counter((r.doc_id, r["size"], r.taken) for r in x)
+    assert key(again) == key(a)
 
 
 def test_mixing_odd(spark):
@@ -183,12 +225,12 @@ def test_mixing_odd(spark):
 def test_hypergeometric_quotas(spark):
     """Quotas add up, and the draws have the distribution's mean and variance."""
     good, total, draws, n = 300, 1000, 400, 4000
-    u = F.pmod(F.xxhash64(F.lit(5), "id"), F.lit(1 << 53)) / float(1 << 53)
-    x = np.array([r[0] for r in spark.range(n).select(mixing._hypergeometric(F.lit(good), F.lit(total), F.lit(draws), u)).collect()])
+    u = f"pmod(xxhash64(5, id), {1 << 53}L) / {float(1 << 53)!r}D"
+    x = np.array([r[0] for r in spark.range(n).select(F.expr(mixing._hypergeometric(f"{good}L", f"{total}L", f"{draws}L", u))).collect()])
     p = good / total
     assert abs(x.mean() - draws * p) < 0.5 and abs(x.var() / (draws * p * (1 - p) * (total - draws) / (total - 1)) - 1) < 0.1
     counts = spark.createDataFrame([(1, 700), (2, 0), (3, 55), (4, 1)], "rank int, n_blocks long")
-    q = mixing.split_quotas(counts, 5, 1, common.Stages(spark, "t")).collect()
+    q = mixing.split_quotas(counts, 5, 1).collect()
     assert {k: sum(r.quota for r in q if r["rank"] == k) for k in (1, 2, 3, 4)} == {1: 700, 2: 0, 3: 55, 4: 1}
     assert max(sum(r.quota for r in q if r.shard == s) for s in range(5)) - min(sum(r.quota for r in q if r.shard == s) for s in range(5)) <= 3
 
@@ -591,7 +633,7 @@ def test_pipeline(spark):
     assert all(r.text == whole[i] for i, r in kept.items() if hashlib.sha256(whole[i].encode()).hexdigest() == want[i])
     d = stages.put(step["source mix"](spark, c, SF), "d")
     n = Counter(r.doc_id for r in d.collect())
-    taken = {r.doc_id: r.epochs + r.extra for r in mixing.mix(c)[0].collect()}
+    taken = {r.doc_id: len(r.draws) for r in mixing.mix(c)[0].collect()}
     assert d.columns == corpus_pipeline.COLUMNS and all(n[i] == k for i, k in taken.items())
     check_packing(step["packing"](spark, d, SF).collect(), [(r.doc_id, r.text) for r in d.collect()])
 
