@@ -99,7 +99,7 @@ def split_quotas(counts: DataFrame, n_shards: int, seed: int) -> DataFrame:
         k = _hypergeometric("c[i]", "so_far.n", "so_far.draw", f"pmod(xxhash64({seed}, depth, lo, i), {1 << 53}L) / {float(1 << 53)!r}D")
         step = f"transform(array({k}), k -> named_struct('n', so_far.n - c[i], 'draw', so_far.draw - k, 'left', concat(so_far.left, array(k))))[0]"
         zero = "named_struct('n', n, 'draw', draw, 'left', cast(array() as array<bigint>))"
-        node = node.withColumn("left", F.expr(f"aggregate(sequence(0, size(c) - 1), {zero}, (so_far, i) -> {step}).left"))
+        node = node.withColumn("left", F.expr(f"aggregate(filter(sequence(0, size(c)), i -> i < size(c)), {zero}, (so_far, i) -> {step}).left"))
         leaf = F.array(F.struct("lo", "hi", "c"))
         halves = F.array(F.struct("lo", F.col("mid").alias("hi"), F.col("left").alias("c")), F.struct(F.col("mid").alias("lo"), "hi", F.zip_with("c", "left", lambda a, b: a - b).alias("c")))
         node = node.select(F.explode(F.when(F.col("hi") - F.col("lo") > 1, halves).otherwise(leaf)).alias("x")).select("x.*")

@@ -121,6 +121,42 @@ def test_html_hints_still_drop():
         assert html.Page(f'<body><div class="x"><p>{text}</p><div class="comments">{cards * 3}{longer}</div></div></body>').extract(None) == text.strip(), c
 
 
+@pytest.mark.parametrize("c", ["post social-science", "widget-content", "search-results-story", "social-science", "menu-of-the-day"])
+def test_html_hint_words_around_the_whole_article(c):
+    text = "words of the article " * 20
+    assert html.Page(f'<body><nav>n</nav><div class="{c}"><p>{text}</p><p>{text}</p></div></body>').extract(None) == f"{text.strip()}\n{text.strip()}"
+
+
+@pytest.mark.parametrize("c", ["section-header", "promo-text", "product-form", "social-science", "side-effects"])
+def test_html_hint_words_inside_the_article(c):
+    text = "words of the article " * 20
+    assert html.Page(f'<article><p>{text}</p><div class="{c}"><p>one part of it</p></div><p>{text}</p></article>').extract(None) == f"{text.strip()}\none part of it\n{text.strip()}"
+    linked = html.Page(f'<article><p>{text}</p><div class="{c}"><a href=x>go there</a></div></article>').extract(None)
+    assert linked == text.strip()
+    for b in ("ad", "ad-box", "share-buttons", "cookie-bar", "sidebar-inner", "related-posts"):
+        assert html.Page(f'<article><p>{text}</p><div class="{b}"><p>no part of it</p></div></article>').extract(None) == text.strip(), b
+
+
+@pytest.mark.parametrize("page", ["<b>" * 100_000 + "</i>" * 100_000, "<i><div>" + "<b>" * 100_000 + "</i>" * 100_000, "<b>" * 100_000 + "<h1>x" * 50_000, "<div>x" * 60_000, "<div>" + "<div class=a>x</div>" * 60_000, "<b>x" * 100_000, "<p>" * 200_000, "<td>" * 100_000 + "<li>" * 50_000])
+def test_html_broken_pages_take_linear_time(page):
+    """Deep, unmatched and repeated tags: a page of a megabyte is read in seconds."""
+    import time
+
+    began = time.perf_counter()
+    html.Page(page).extract(["div.a", "div"])
+    assert time.perf_counter() - began < 5
+
+
+def test_html_several_templates(spark):
+    """Pages of a host's minor template are extracted from that template's container."""
+    a = '<body><div class="story"><p>{}</p></div></body>'
+    b = '<body><div class="entry"><p>{}</p></div><div class="box"><p>{}</p></div></body>'
+    words = "some words of the text " * 9
+    rows = [(i, "http://h/a", a.format(words)) for i in range(9)] + [(20 + i, "http://h/b", b.format(words, "box")) for i in range(5)]
+    got = {r.page_id: r.text for r in html.extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert len(got) == 14 and all(t == words.strip() for t in got.values())
+
+
 def test_html_pages(spark):
     want = {}
     for i, h in table("pages", "page_id, html"):
