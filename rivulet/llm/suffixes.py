@@ -13,9 +13,15 @@ only be equal if their suffixes' leading bytes are.
 3. The rest, one of each kind, is fetched with its bytes and range-partitioned by its leading bytes,
    equal ones together.  Buckets sort by multikey quicksort, to the right of the place and, reversed,
    to the left; common prefixes of neighbours tell for each window whether its bytes occur again.
-4. Spans of repeated windows return to their texts, are merged and cut out.
-Leading bytes with more than HOT different kinds, which no task should hold, are resolved by counting
-the hashes of their windows instead.
+4. Leading bytes with more than FIT kinds, which no task should hold, are told apart by more of them,
+   as a bucket of a sort is by its next characters: each of their suffixes is cut into bands of
+   windows, a band leads with the bytes that all its windows share, and steps 2 and 3 are repeated
+   with these longer leads.  Bands narrow fourfold each time; one of a single window leads with the
+   window itself, so this ends, whatever the data.
+5. Spans of repeated windows return to their texts, are merged and cut out.
+What is compared in step 3 is compared byte by byte.  Suffixes that are settled as a whole, in step 2,
+rest on 128 hash bits and texts on more than 64 (80 for windows of 200 bytes): among 10^10 texts two
+are taken for one with a probability of 4e-5, and among 10^12 suffixes two with 1e-15.
 """
 
 from __future__ import annotations
@@ -30,8 +36,10 @@ from .common import Stages
 from .shingles import U, buffers, groups, mix
 
 WINDOW, LEAD = 200, 32
-#: Different kinds of suffixes with the same leading bytes that a task compares at most.
-HOT = 100_000
+#: Different kinds of suffixes with the same leading bytes that a task compares at once; more get longer leads.
+FIT = 20_000
+#: Texts that a task remembers, to skip their copies.
+SEEN = 1_000_000
 CHUNK = 8_000
 #: Bytes of a text that are sampled at a time; windows that cross pieces belong to the earlier.
 PIECE = 1_000_000
@@ -121,22 +129,57 @@ def _pieces(data: np.ndarray, at: np.ndarray, window: int):
                     yield i, s, part, np.array([0, len(part)])
 
 
-#: A suffix in 64 bits: place << 32 | bytes of its windows left of it << 24 | number of windows - 1 << 16 | 16 bits of the text's second key.
-def _left(p):
-    return p >> 24 & 255
+class Layout:
+    """A suffix in 64 bits: its place, the bytes of its windows left of it, their number less one, and some bits of the text's second key."""
 
+    def __init__(self, window: int, lead: int):
+        self.window, self.lead = window, lead
+        self.bits = max(8, (window - lead).bit_length())
+        if not 0 < lead <= window or self.bits > 12:
+            raise ValueError("a window has at least its lead and at most 4095 bytes more")
+        self.key_bits = 32 - 2 * self.bits
 
-def _more(p):
-    return p >> 16 & 255
+    def pack(self, place, left, more, k2):
+        return place << 32 | left << 32 - self.bits | more << self.key_bits | k2
 
+    def left(self, p):
+        return p >> 32 - self.bits & (1 << self.bits) - 1
 
-def _sampled(window: int, lead: int):
+    def more(self, p):
+        return p >> self.key_bits & (1 << self.bits) - 1
+
+    def k2(self, p):
+        return p & (1 << self.key_bits) - 1
+
+    def columns(self) -> tuple[Column, Column, Column]:
+        """k2, start and stop of all windows of the suffix p."""
+        some = lambda shift, bits: F.shiftright("p", shift).bitwiseAND((1 << bits) - 1)
+        start = F.shiftright("p", 32) - some(32 - self.bits, self.bits)
+        return some(0, self.key_bits).cast("int").alias("k2"), start.alias("start"), (start + some(self.key_bits, self.bits) + self.window).alias("stop")
+
+    def keys(self) -> list[Column]:
+        """The bits of a text's hashes by which texts are told apart."""
+        return [F.xxhash64("t").alias("k1"), F.shiftrightunsigned(F.xxhash64(F.lit(19), "t"), 64 - self.key_bits).cast("int").alias("k2")]
+
+    def band(self, p: int, width: int) -> int:
+        """Which band of so many windows the suffix's windows are in, counted by the bytes left of its place."""
+        return (self.left(p) - self.more(p)) // width
+
+    def core(self, p: int, width: int, text: bytes) -> bytes:
+        """The bytes that all windows of a band share; of the widest band: the lead."""
+        place, j = p >> 32, self.band(p, width)
+        return text[place - j * width : place + self.window - (j + 1) * width + 1]
+
+
+def _sampled(layout: Layout):
     """(k1, k2, text) -> suffixes (h, c, k1, p, settled): of equal ones in the task one goes on, with settled false if it is alone.
 
     Rows with h null are spans that are settled here: they repeat within the task.  Texts that the
     task has seen are skipped; that they are copies is counted elsewhere.
     """
 
+    window, lead = layout.window, layout.lead
+
     def run(batches):
         import pyarrow as pa
 
@@ -165,6 +208,8 @@ def _sampled(window: int, lead: int):
             for i, key in enumerate(zip(k1.tolist(), k2.tolist(), strict=True)):
                 fresh[i] = key not in seen_texts
                 seen_texts.add(key)
+            if len(seen_texts) > SEEN:  # copies that are not skipped are found like any repeat
+                seen_texts.clear()
             rows = np.flatnonzero(fresh)
             data, at = buffers(batch.column(2).filter(pa.array(fresh)))
             for first, offset, part, bounds in _pieces(data, at, window):
@@ -173,7 +218,7 @@ def _sampled(window: int, lead: int):
                     continue
                 c = _segments(part, lo, hi + window) + mix((place - lo).astype(np.uint64))
                 row = rows[first + text]
-                p = (place - bounds[text] + offset) << 32 | (place - lo) << 24 | (hi - lo) << 16 | k2[row]
+                p = layout.pack(place - bounds[text] + offset, place - lo, hi - lo, k2[row].astype(np.int64))
                 held.append([h, c, k1[row], p])
                 n += len(p)
                 if n > 400_000:
@@ -246,8 +291,8 @@ def _squeezed(batches):
         yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(3)), pa.array(packed, pa.binary())], ["k1", "k2", "doc_id", "z"])
 
 
-def _fetched(window: int, lead: int):
-    """(k1, z, suffixes) -> a row for each: lead, k1, p, settled, bytes of all its windows."""
+def _fetched(layout: Layout, width: int):
+    """(k1, z, suffixes) -> a row for each: lead (the bytes that its band shares), k1, p, settled, bytes of all its windows."""
 
     def run(batches):
         import pyarrow as pa
@@ -260,8 +305,8 @@ def _fetched(window: int, lead: int):
                 text = z.decompress(packed)
                 for s in suffixes:
                     p = s["p"]
-                    at = p >> 32
-                    for x, v in zip(out, (text[at : at + lead], k, p, s["settled"], text[at - _left(p) : at - _left(p) + _more(p) + window]), strict=True):
+                    start = (p >> 32) - layout.left(p)
+                    for x, v in zip(out, (layout.core(p, width, text), k, p, s["settled"], text[start : start + layout.more(p) + layout.window]), strict=True):
                         x.append(v)
             kinds = (pa.binary(), pa.int64(), pa.int64(), pa.bool_(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, kinds, strict=True)], ["lead", "k1", "p", "settled", "t"])
@@ -269,6 +314,36 @@ def _fetched(window: int, lead: int):
     return run
 
 
+def _banded(layout: Layout, width: int):
+    """(k1, z, suffixes) -> the suffixes cut into bands of ``width`` windows: h (hash of the bytes that a band shares), c (of all its bytes), k1, p, settled."""
+
+    def run(batches):
+        import pyarrow as pa
+        import xxhash
+        import zstandard
+
+        z = zstandard.ZstdDecompressor()
+        for batch in batches:
+            out: list[list] = [[], [], [], [], []]
+            for k, packed, suffixes in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                text = z.decompress(packed)
+                for s in suffixes:
+                    p = s["p"]
+                    place, last = p >> 32, layout.left(p)
+                    first = last - layout.more(p)
+                    for j in range(first // width, last // width + 1):
+                        lo, hi = max(first, j * width), min(last, (j + 1) * width - 1)
+                        q = layout.pack(place, hi, hi - lo, layout.k2(p))
+                        h = xxhash.xxh3_64_intdigest(layout.core(q, width, text), seed=j)
+                        c = xxhash.xxh3_64_intdigest(text[place - hi : place - lo + layout.window], seed=lo << 12 | hi)
+                        for x, v in zip(out, (h - (h >> 63 << 64), c - (c >> 63 << 64), k, q, s["settled"]), strict=True):
+                            x.append(v)
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_())
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, kinds, strict=True)], ["h", "c", "k1", "p", "settled"])
+
+    return run
+
+
 def multikey_sort(words: np.ndarray) -> np.ndarray:
     """Order of the rows of ``words`` (big-endian bytes as numbers): multikey quicksort.
 
@@ -302,10 +377,9 @@ def _ranked(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, np.append(0, common)
 
 
-def repeated(p: np.ndarray, texts: list[bytes], window: int) -> np.ndarray:
+def repeated(left: np.ndarray, more: np.ndarray, texts: list[bytes], window: int) -> np.ndarray:
     """(row, o): whether the window o bytes left of each suffix's place occurs in another row too."""
-    m, span = len(p), window
-    left, more = _left(p), _more(p)
+    m, span = len(left), window
     right = np.zeros((m, span), np.uint8)
     back = np.zeros((m, span), np.uint8)
     size = np.array([len(t) for t in texts])
@@ -335,7 +409,7 @@ def repeated(p: np.ndarray, texts: list[bytes], window: int) -> np.ndarray:
     return flags
 
 
-def _compared(window: int):
+def _compared(layout: Layout):
     """Rows sorted by lead (lead, k1, p, settled, t) -> spans (k1, k2, start, stop) of windows that occur again."""
 
     def work(rows):
@@ -345,13 +419,13 @@ def _compared(window: int):
         k, p, settled = np.array(k, np.int64), np.array(p, np.int64), np.array(settled, bool)
         _, one = np.unique(np.stack([k, p], 1), axis=0, return_index=True)  # boundary runs may arrive twice
         k, p, settled = k[one], p[one], settled[one]
-        flags = repeated(p, [t[i] for i in one], window)
+        flags = repeated(layout.left(p), layout.more(p), [t[i] for i in one], layout.window)
         flags[settled] = False
         edge = np.diff(np.pad(flags, ((0, 0), (1, 1))).astype(np.int8), axis=1)
         row, first = np.nonzero(edge == 1)
         _, after = np.nonzero(edge == -1)
         place = p[row] >> 32
-        return pa.RecordBatch.from_arrays([pa.array(k[row]), pa.array((p[row] & 65535).astype(np.int32)), pa.array(place - (after - 1)), pa.array(place - first + window)], ["k1", "k2", "start", "stop"])
+        return pa.RecordBatch.from_arrays([pa.array(k[row]), pa.array(layout.k2(p[row]).astype(np.int32)), pa.array(place - (after - 1)), pa.array(place - first + layout.window)], ["k1", "k2", "start", "stop"])
 
     def run(batches):
         held, n, last = [], 0, None
@@ -373,23 +447,18 @@ def _compared(window: int):
     return run
 
 
-def _window_hashes(window: int):
-    """(k1, p, settled, t) -> a row for each window: w1, w2 (its 128-bit hash), k1, p, o, settled."""
-
-    def run(batches):
-        import pyarrow as pa
-
-        for batch in batches:
-            out: list[list] = [[], [], [], [], [], []]
-            for k, p, s, t in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-                for i in range(_more(p) + 1):
-                    d = hashlib.blake2b(t[i : i + window], digest_size=16).digest()
-                    for x, v in zip(out, (int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True), k, p, _left(p) - i, s), strict=True):
-                        x.append(v)
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.bool_())
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, kinds, strict=True)], ["w1", "w2", "k1", "p", "o", "settled"])
-
-    return run
+def _whole(text: bytes, spans: list[tuple[int, int]]) -> str:
+    """text without the spans, each widened to whole characters."""
+    rest, at = [], 0
+    for a, b in spans:
+        while a > at and text[a] & 0xC0 == 0x80:
+            a -= 1
+        while b < len(text) and text[b] & 0xC0 == 0x80:
+            b += 1
+        rest.append(text[at:a])
+        at = b
+    rest.append(text[at:])
+    return b"".join(rest).decode("utf-8", "replace")
 
 
 def _cut(carry_text: bool):
@@ -405,21 +474,17 @@ def _cut(carry_text: bool):
             out: list[list] = [[] for _ in names[1:]]
             lists = batch.column(2)
             for i, packed in enumerate(batch.column(1).to_pylist()):
-                text, rest, at, spans, removed = z.decompress(packed), [], 0, 0, 0
-                if lists[i].is_valid:
-                    stop = -1
-                    for x in sorted((s["start"], s["stop"]) for s in lists[i].as_py()):
-                        a, b = x[0], min(x[1], len(text))
-                        if a > stop:  # adjacent runs are one
-                            rest.append(text[at:a])
-                            spans += 1
-                            removed += b - a
-                        elif b > stop:
-                            removed += b - stop
-                        stop = at = max(stop, b)
-                rest.append(text[at:])
-                kept = b"".join(rest)
-                values = [len(text), removed, spans, hashlib.sha256(kept).hexdigest()] + [kept.decode("utf-8", "ignore")] * carry_text
+                text, spans = z.decompress(packed), []
+                for a, b in sorted((s["start"], min(s["stop"], len(text))) for s in lists[i].as_py() or ()) if lists[i].is_valid else ():
+                    if spans and a <= spans[-1][1]:  # adjacent runs are one
+                        spans[-1] = spans[-1][0], max(b, spans[-1][1])
+                    else:
+                        spans.append((a, b))
+                edges = [0, *(x for s in spans for x in s), len(text)]
+                digest = hashlib.sha256()
+                for a, b in zip(edges[::2], edges[1::2], strict=True):
+                    digest.update(text[a:b])
+                values = [len(text), sum(b - a for a, b in spans), len(spans), digest.hexdigest()] + [_whole(text, spans)] * carry_text
                 for x, v in zip(out, values, strict=True):
                     x.append(v)
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string()] + [pa.string()] * carry_text
@@ -428,70 +493,68 @@ def _cut(carry_text: bool):
     return run
 
 
-def _keys() -> list[Column]:
-    """80 bits of the text's hashes: texts are told apart by them."""
-    return [F.xxhash64("t").alias("k1"), F.shiftrightunsigned(F.xxhash64(F.lit(19), "t"), 48).cast("int").alias("k2")]
-
-
-def repeated_spans(docs: DataFrame, stages: Stages, window: int = WINDOW, lead: int = LEAD, hot: int = HOT) -> DataFrame:
+def repeated_spans(docs: DataFrame, stages: Stages, layout: Layout, fit: int = FIT) -> DataFrame:
     """(k1, k2, spans): the spans of repeated windows of each text (docs: t, k1, k2) that has any."""
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    k2, start, stop = layout.columns()
     kinds = "h long, c long, k1 long, p long, settled boolean"
-    found = stages.put(docs.where(F.octet_length("t") >= window).select("k1", "k2", "t").mapInArrow(_sampled(window, lead), kinds), "suffixes")
-    order = found.where("h is not null").repartitionByRange(partitions, "h", "c").sortWithinPartitions("h", "c")
-    scanned = stages.put(order.mapInArrow(_scanned, "h long, k1 long, p long, settled boolean"), "scanned")
-
-    compare = scanned.where("h is not null")
-    count = compare.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    compare = stages.put(compare.join(stages.put(count, "leads"), "h"), "compare")
-    wanted = compare.select("k1", F.col("p").bitwiseAND(65535).cast("int").alias("k2"), "p", "settled", (F.col("n") > hot).alias("hot"))
-    wanted = wanted.groupBy("k1", "k2").agg(F.collect_set(F.when(~F.col("hot"), F.struct("p", "settled"))).alias("suffixes"), F.collect_set(F.when(F.col("hot"), F.struct("p", "settled"))).alias("hot_suffixes"))
-    wanted = stages.put(wanted, "wanted")
-    texts = docs.select("k1", "k2", F.lit(None).cast("long").alias("doc_id"), "t").mapInArrow(_squeezed, "k1 long, k2 int, doc_id long, z binary")
-    texts = texts.dropDuplicates(["k1", "k2"]).select("k1", "k2", "z").join(wanted, ["k1", "k2"])
-    fetch = "lead binary, k1 long, p long, settled boolean, t binary"
-    texts = texts.select("k1", "z", "suffixes", "hot_suffixes")
-    any_hot = bool(compare.where(F.col("n") > hot).limit(1).count())
-    if any_hot:
-        texts = stages.put(texts, "texts")
-    bytes_ = stages.put(texts.where(F.size("suffixes") > 0).select("k1", "z", "suffixes").mapInArrow(_fetched(window, lead), fetch), "bytes")
-    buckets = bytes_.repartitionByRange(partitions, "lead").sortWithinPartitions("lead")
-    parts = [buckets.mapInArrow(_compared(window), "k1 long, k2 int, start long, stop long")]
-    if any_hot:
-        h = texts.where(F.size("hot_suffixes") > 0).select("k1", "z", "hot_suffixes").mapInArrow(_fetched(window, lead), fetch).select("k1", "p", "settled", "t")
-        h = stages.put(h.mapInArrow(_window_hashes(window), "w1 long, w2 long, k1 long, p long, o int, settled boolean").distinct(), "hot-windows")
-        again = stages.put(h.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("w1", "w2"), "hot-again")
-        place = F.shiftright("p", 32) - F.col("o")
-        parts.append(h.where("not settled").join(again, ["w1", "w2"]).select("k1", F.col("p").bitwiseAND(65535).cast("int").alias("k2"), place.alias("start"), (place + window).alias("stop")))
-    whole = F.shiftright("p", 32) - F.shiftright("p", 24).bitwiseAND(255)
-    for t in (found.where("h is null"), scanned.where("h is null")):
-        parts.append(t.select("k1", F.col("p").bitwiseAND(65535).cast("int").alias("k2"), whole.alias("start"), (whole + F.shiftright("p", 16).bitwiseAND(255) + window).alias("stop")))
-    #: suffixes that the task found more than once: the one that went on
-    parts.append(found.where("h is not null and settled").select("k1", F.col("p").bitwiseAND(65535).cast("int").alias("k2"), whole.alias("start"), (whole + F.shiftright("p", 16).bitwiseAND(255) + window).alias("stop")))
-    copies = docs.where(F.octet_length("t") >= window).groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n"), F.max(F.octet_length("t")).alias("stop")).where("n > 1")
-    parts.append(copies.select("k1", "k2", F.lit(0).cast("long").alias("start"), F.col("stop").cast("long")))
+    long = docs.where(F.octet_length("t") >= layout.window)
+    copies = long.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n"), F.max(F.octet_length("t")).alias("stop")).where("n > 1")
+    parts = [copies.select("k1", "k2", F.lit(0).cast("long").alias("start"), F.col("stop").cast("long"))]
+    texts = docs.select("k1", "k2", F.lit(None).cast("long").alias("doc_id"), "t").mapInArrow(_squeezed, "k1 long, k2 int, doc_id long, z binary").dropDuplicates(["k1", "k2"]).select("k1", "k2", "z")
+    found = stages.put(long.select("k1", "k2", "t").mapInArrow(_sampled(layout), kinds), "suffixes")
+    #: settled within a task: the repeats, and the one that went on
+    parts += [found.where("h is null").select("k1", k2, start, stop), found.where("h is not null and settled").select("k1", k2, start, stop)]
+    width = layout.window - layout.lead + 1
+    while True:
+        order = found.where("h is not null").repartitionByRange(partitions, "h", "c").sortWithinPartitions("h", "c")
+        scanned = stages.put(order.mapInArrow(_scanned, "h long, k1 long, p long, settled boolean"), "scanned")
+        parts.append(scanned.where("h is null").select("k1", k2, start, stop))
+        compare = scanned.where("h is not null")
+        count = compare.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        compare = stages.put(compare.join(stages.put(count, "leads"), "h"), "compare")
+        some = lambda c: F.collect_set(F.when(c, F.struct("p", "settled")))
+        wanted = compare.groupBy("k1", k2).agg(some(F.col("n") <= fit).alias("suffixes"), some(F.col("n") > fit).alias("crowded"))
+        texts = texts.join(stages.put(wanted, "wanted"), ["k1", "k2"])
+        more = not compare.where(F.col("n") > fit).isEmpty()
+        if more:
+            texts = stages.put(texts, "texts")
+        rows = texts.where(F.size("suffixes") > 0).select("k1", "z", "suffixes").mapInArrow(_fetched(layout, width), "lead binary, k1 long, p long, settled boolean, t binary")
+        buckets = stages.put(rows, "bytes").repartitionByRange(partitions, "lead").sortWithinPartitions("lead")
+        parts.append(buckets.mapInArrow(_compared(layout), "k1 long, k2 int, start long, stop long"))
+        if not more:
+            break
+        width = -(-width // 4)
+        texts = texts.where(F.size("crowded") > 0)
+        found = stages.put(texts.select("k1", "z", "crowded").mapInArrow(_banded(layout, width), kinds), "bands")
+        texts = texts.select("k1", "k2", "z")
     spans = parts[0]
     for x in parts[1:]:
         spans = spans.unionByName(x)
     return stages.put(spans.groupBy("k1", "k2").agg(F.collect_set(F.struct("start", "stop")).alias("spans")), "spans")
 
 
-def remove_repeats(docs: DataFrame, window: int = WINDOW, lead: int = LEAD, hot: int = HOT, carry_text: bool = False, key: Column | None = None) -> DataFrame:
+def remove_repeats(docs: DataFrame, window: int = WINDOW, lead: int = LEAD, fit: int = FIT, carry_text: bool = False, key: Column | None = None) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 (carry_text: kept, the remaining text), one row for each row of docs.
 
     key: what to return as doc_id, for example a struct of columns to carry.
 
+    kept: a character of which a byte is removed goes as a whole, so kept may have fewer bytes than
+    kept_sha256 was taken of; bytes of a text that are no UTF-8 become replacement characters in it.
+
     Every byte of a text (UTF-8) that is covered by ``window`` bytes which also start anywhere else,
     in the same or another row, is removed; overlaps count, and all is judged on the input.  docs
     needs doc_id and text; other columns are ignored.  Null text: empty.  Null doc_id and repeated
     rows: rows of their own, so the texts of repeated rows are removed if they have ``window`` bytes.
-    Shorter texts stay whole.  Empty table: no rows.
+    Shorter texts stay whole.  Empty table: no rows.  A window of more than ``lead`` + 4095 bytes is a
+    ValueError.
     """
     stages = Stages(docs.sparkSession, "suffixes")
     d = docs.select((F.col("doc_id") if key is None else key).alias("doc_id"), F.coalesce("text", F.lit("")).alias("t"))
     kind = d.schema["doc_id"].dataType.simpleString()
-    d = d.select("doc_id", "t", *_keys())
-    spans = repeated_spans(d, stages, window, lead, hot)
+    layout = Layout(window, lead)
+    d = d.select("doc_id", "t", *layout.keys())
+    spans = repeated_spans(d, stages, layout, fit)
     z = d.select("k1", "k2", "doc_id", "t").mapInArrow(_squeezed, f"k1 long, k2 int, doc_id {kind}, z binary")
     out = f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept string" * carry_text
     return z.join(spans, ["k1", "k2"], "left").select("doc_id", "z", "spans").mapInArrow(_cut(carry_text), out)

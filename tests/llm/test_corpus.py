@@ -355,13 +355,35 @@ def passages(seed=5):
     return rows + [(100, None), (101, ""), (102, "a" * 300), (103, "ab" * 200), (104, "a" * 120), (5, rows[5][1]), (None, rows[7][1]), (106, rows[9][1] + "zz"), (107, "xy" + rows[9][1])]
 
 
-@pytest.mark.parametrize("window, lead, hot, piece", [(40, 8, 100_000, 1_000_000), (40, 8, 3, 1_000_000), (60, 16, 2, 100), (40, 8, 100_000, 50)])
-def test_repeats(spark, monkeypatch, window, lead, hot, piece):
-    """Whole groups, groups beyond the bound that a task compares, and texts in overlapping pieces."""
+@pytest.mark.parametrize("window, lead, fit, piece", [(40, 8, 100_000, 1_000_000), (40, 8, 2, 1_000_000), (60, 16, 2, 100), (40, 8, 100_000, 50), (200, 32, 3, 1_000_000), (400, 32, 2, 1_000_000)])
+def test_repeats(spark, monkeypatch, window, lead, fit, piece):
+    """Whole groups, groups beyond what a task compares, texts in overlapping pieces, and windows of other lengths."""
     monkeypatch.setattr(suffixes, "PIECE", piece)
     rows = passages()
+    if window >= 200:
+        r = random.Random(6)
+        rows = [(i, t and t * 3 if i == 3 else t) for i, t in rows] + [(200 + i, "".join(r.choice("abcde") for _ in range(30)) + (rows[9][1] * 4)[i % 7 : 900 - i] + "zé" * r.randint(0, 90)) for i in range(40)]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3).withColumns(clash())
-    assert sorted((tuple(r) for r in suffixes.remove_repeats(df, window, lead, hot).collect()), key=str) == cut_by_brute_force(rows, window)
+    assert sorted((tuple(r) for r in suffixes.remove_repeats(df, window, lead, fit).collect()), key=str) == cut_by_brute_force(rows, window)
+
+
+def test_repeats_of_a_lead_shared_by_many(spark, monkeypatch):
+    """One passage in every text, each time with other words around it: its edges are one lead with as many kinds."""
+    r = random.Random(4)
+    words = lambda n: "".join(r.choice("abcdefgh") for _ in range(n))
+    same = words(70)
+    rows = [(i, words(r.randint(0, 60)) + same + words(r.randint(0, 60))) for i in range(150)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted((tuple(x) for x in suffixes.remove_repeats(df, 40, 8, 5).collect()), key=str) == cut_by_brute_force(rows, 40)
+
+
+def test_repeats_keep_whole_characters(spark):
+    same = "é" * 40
+    rows = [(1, "a" + same + "b"), (2, "ü" + same[:-1] + "x"), (3, "plain")]
+    got = {x.doc_id: x.kept for x in suffixes.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), 41, 8, carry_text=True).collect()}
+    assert got == {1: "ab", 2: "üx", 3: "plain"}
+    with pytest.raises(ValueError):
+        suffixes.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), 5000)
 
 
 def test_repeats_odd(spark):
