@@ -284,3 +284,17 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
 
 def op9_minhash(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"), width=2)
+
+
+OP9_SQL = """
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (SELECT r, doc_id, CASE len(w) WHEN 0 THEN []::VARCHAR[][] WHEN 1 THEN [w] ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i:i + 1])) END AS g FROM d),
+sizes AS (SELECT r, doc_id, len(g) AS n FROM s),
+items AS (SELECT r, unnest(g) AS x FROM s),
+both_ AS (SELECT a.r AS a, b.r AS b, count(*) AS k FROM items a JOIN items b ON a.x = b.x AND a.r < b.r GROUP BY ALL),
+near AS (SELECT a, b FROM both_ JOIN sizes x ON x.r = a JOIN sizes y ON y.r = b WHERE 100 * k >= 80 * (x.n + y.n - k)),
+links AS (SELECT a, b FROM near UNION ALL SELECT b, a FROM near),
+reach AS (SELECT r, r AS to_ FROM d UNION SELECT reach.r, b FROM reach JOIN links ON a = to_)
+SELECT x.doc_id, x.n AS n_shingles, c AS component_id, x.doc_id = c AS kept
+FROM sizes x JOIN (SELECT reach.r, min(y.doc_id) AS c FROM reach JOIN d y ON y.r = to_ GROUP BY reach.r) USING (r)
+"""

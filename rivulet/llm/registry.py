@@ -2,13 +2,13 @@
 
 import corpus_pipeline
 
-from .embeddings import op6_near_vectors
+from .embeddings import OP6_SQL, op6_near_vectors
 from .html import op1_html_extraction
-from .minhash import op9_minhash
+from .minhash import OP9_SQL, op9_minhash
 from .mixing import op2_mixing
 from .packing import op5_packing
 from .quality import OP3_SQL, op3_quality_rules
-from .suffixes import op4_repeats
+from .suffixes import OP4_SQL, op4_repeats
 from .tokencounts import op10_token_counts
 from .toxicity import op8_toxicity
 from .urls import OP7_SQL, op7_url_filter
@@ -26,4 +26,4 @@ QUERIES = {
     "op10_token_counts": op10_token_counts,
     "pipeline": corpus_pipeline.run,
 }
-SQL = {"op3_quality_rules": OP3_SQL, "op7_url_filter": OP7_SQL}
+SQL = {"op3_quality_rules": OP3_SQL, "op4_repeats": OP4_SQL, "op6_near_vectors": OP6_SQL, "op7_url_filter": OP7_SQL, "op9_minhash": OP9_SQL}

@@ -562,3 +562,21 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, lead: int = LEAD, fit:
 
 def op4_repeats(spark, sf_dir: str) -> DataFrame:
     return remove_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+OP4_SQL = """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+pieces AS (SELECT r, p, len(x) // 2 - 199 - 250 * p AS n, substr(x, 500 * p + 1, 898) AS x FROM (SELECT r, x, unnest(range((len(x) // 2 + 50) // 250)) AS p FROM d WHERE len(x) >= 400)),
+windows AS (SELECT r, 250 * p + i AS i, md5_number(substr(x, 2 * i + 1, 400)) AS w FROM (SELECT r, p, x, unnest(range(least(250, n))) AS i FROM pieces)),
+twice AS (SELECT w FROM windows GROUP BY w HAVING count(*) > 1),
+starts AS (SELECT r, i FROM windows SEMI JOIN twice USING (w)),
+runs AS (SELECT r, i, sum(CASE WHEN i > before + 200 OR before IS NULL THEN 1 ELSE 0 END) OVER (PARTITION BY r ORDER BY i) AS run
+  FROM (SELECT r, i, lag(i) OVER (PARTITION BY r ORDER BY i) AS before FROM starts)),
+spans AS (SELECT r, run, min(i) AS a, max(i) + 200 AS b FROM runs GROUP BY r, run),
+gaps AS (
+  SELECT r, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS lo, a AS hi FROM spans
+  UNION ALL SELECT d.r, coalesce(b, 0), len(x) // 2 FROM d LEFT JOIN (SELECT r, max(b) AS b FROM spans GROUP BY r) USING (r)),
+kept AS (SELECT g.r, string_agg(substr(x, 2 * lo + 1, 2 * (hi - lo)), '' ORDER BY lo) AS k FROM gaps g JOIN d ON d.r = g.r GROUP BY g.r)
+SELECT doc_id, len(x) // 2 AS n_bytes, coalesce(removed, 0)::BIGINT AS n_removed, coalesce(n, 0) AS n_spans, sha256(unhex(k)) AS kept_sha256
+FROM d JOIN kept USING (r) LEFT JOIN (SELECT r, sum(b - a) AS removed, count(*) AS n FROM spans GROUP BY r) USING (r)
+"""

@@ -283,7 +283,7 @@ def frames_equal(got, want):
 @pytest.mark.parametrize("name", sorted(registry.SQL))
 def test_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "labels"):
+    for t in ("documents", "pages", "labels", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     frames_equal(registry.QUERIES[name](spark, SF).toPandas(), con.execute(registry.SQL[name]).df())
 
