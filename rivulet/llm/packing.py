@@ -28,6 +28,8 @@ from .common import Stages
 from .shingles import buffers, groups
 
 CAPACITY = 2048
+#: Pieces of one length that a task ranks.
+RANKED = 100_000
 ROUNDS, COLUMNS, STEP = 150, 64, 0.25
 _SPECIAL = (b"<|startoftext|>", b"<|endoftext|>")
 
@@ -331,8 +333,9 @@ def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY) ->
     for l, k in counts.items():
         n[l] = k
     slots = _slots(pack_lengths(n, capacity))
-    salts = min(65_536, math.ceil(max(1, int(n.sum())) / 2000))
-    cut = cut.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(salts)))
+    # as many salts as a length has RANKED pieces: a row for each length, at most ``capacity``
+    salts = docs.sparkSession.createDataFrame([(l, math.ceil(k / RANKED)) for l, k in counts.items()], "length long, salts long")
+    cut = cut.join(F.broadcast(salts), "length").withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), "salts")).drop("salts")
     before = cut.groupBy("length", "salt").agg(F.count(F.lit(1)).alias("k"))
     before = stages.put(before.selectExpr("length", "salt", "sum(k) over (partition by length order by salt) - k as before"), "ranks")
     ranked = cut.selectExpr("*", "row_number() over (partition by length, salt order by doc_id, piece, start, ids_crc32) - 1 as r").join(before, ["length", "salt"])

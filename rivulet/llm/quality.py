@@ -3,16 +3,14 @@
 Every document gets exact integer signals.  For each (lang, source) the signals are summarised by a
 mergeable quantile sketch: counts by a log-linear bucket of the value (64 buckets for each power of
 two, a relative error below 1/64).  Sketches are sums, so they combine map-side, and the sketch of a
-language is the sum of its sources'.  A threshold is median + spread * (third quartile - median) +
-tolerance of the signal, read from the sketch of the document's (lang, source) where that has
-``min_group`` documents, else from its language's, else from the whole corpus's.  Where a quarter of
-a group is bad its third quartile is a bad value, so its threshold is held to the larger of the next
+language is the sum of its sources'.  A fence is median + spread * (third quartile - median) +
+tolerance of the signal.  Each document's threshold blends the fences of its (lang, source), its
+language and the whole corpus: one with n documents weighs n / (n + BLEND) against the next level's
+blend, so that small groups lean on larger ones and no group size switches rules.  Where a quarter of
+a group is bad its third quartile is a bad value, so its fence is held to the larger of the next
 level's and the one with the spread of the group's good side (median - first quartile), which up to
 half of bad documents do not move.  The whole corpus's is held to its good side's.  The thresholds
 join back to the documents; a document is kept if it passes the base rules and every threshold.
-
-OP3_SQL has not this bound: its rows are the same where no group's third quartile is bad (so on
-sf0.001, sf0.01 and sf0.1), and it keeps junk in groups of which a quarter is.
 """
 
 from __future__ import annotations
@@ -31,7 +29,8 @@ RULES = (
     ("word_len_c", 250, -1),
 )
 SPREAD = 8
-MIN_GROUP = 200
+#: Documents at which a group's own fence weighs as much as the next level's.
+BLEND = 200
 SIGNALS = ("symbols_pm", "upper_pm", "dup_lines_pm", "word_len_c")
 
 
@@ -111,7 +110,7 @@ def sketches(d: DataFrame) -> DataFrame:
     return v.withColumn("bucket", F.expr("shiftleft(shiftright(v, k), k)")).groupBy("lang_", "source_", "signal", "bucket").agg(F.count(F.lit(1)).alias("n"))
 
 
-def thresholds(sketch: DataFrame, min_group: int = MIN_GROUP, spread: int = SPREAD) -> DataFrame:
+def thresholds(sketch: DataFrame, blend: int = BLEND, spread: int = SPREAD) -> DataFrame:
     """(lang_, source_, <signal>_hi, word_len_c_lo) for each (lang_, source_) of the sketch."""
     levels = []
     for level, keys in enumerate((["lang_", "source_"], ["lang_"], [])):
@@ -134,13 +133,16 @@ def thresholds(sketch: DataFrame, min_group: int = MIN_GROUP, spread: int = SPRE
             q1, q2, q3 = (F.col(f"{c}_{level}") for c in ("q1", "q2", "q3"))
             bad, good = (q3 - q2, q2 - q1) if side > 0 else (q2 - q1, q3 - q2)
             wide, robust = (q2 + side * (spread * x + slack) for x in (bad, good))
-            own = tighter(wide, robust if fence is None else looser(robust, fence))
-            fence = own if fence is None else F.when(F.col(f"total_{level}") >= min_group, own).otherwise(fence)
+            n = F.col(f"total_{level}")
+            if fence is None:
+                fence = tighter(wide, robust).cast("double")
+            else:
+                fence = (n * tighter(wide, looser(robust, fence)) + blend * fence) / (n + blend)
         fences.append(F.max(F.when(F.col("signal") == name, fence)).alias(f"{name}_{'hi' if side > 0 else 'lo'}"))
     return t.groupBy("lang_", "source_").agg(*fences)
 
 
-def quality_rules(docs: DataFrame, carry: list[str] = ("doc_id",), min_group: int = MIN_GROUP, spread: int = SPREAD) -> DataFrame:
+def quality_rules(docs: DataFrame, carry: list[str] = ("doc_id",), blend: int = BLEND, spread: int = SPREAD) -> DataFrame:
     """``carry`` columns, the signals, base_failed and kept, one row for each row of docs.
 
     docs needs text, lang and source; other columns pass only if carried.  Null text: no words, so
@@ -151,7 +153,7 @@ def quality_rules(docs: DataFrame, carry: list[str] = ("doc_id",), min_group: in
     key = lambda c: F.when(F.col(c).isNull(), F.lit("")).otherwise(F.concat(F.lit("="), F.col(c)))
     keyed = docs.withColumns({"lang_": key("lang"), "source_": key("source")})
     d = stages.put(_rates(signals(keyed, [*carry, "lang_", "source_"])), "signals")
-    cut = stages.put(thresholds(stages.put(sketches(d), "sketches"), min_group, spread), "thresholds")
+    cut = stages.put(thresholds(stages.put(sketches(d), "sketches"), blend, spread), "thresholds")
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     passes = F.lit(True)
     for name, _, side in RULES:
@@ -180,10 +182,16 @@ def _sql() -> str:
   FROM (SELECT *, sum(n) OVER (PARTITION BY {k}signal ORDER BY bucket) AS upto, sum(n) OVER (PARTITION BY {k}signal) AS total
         FROM (SELECT {k}signal, bucket, sum(n) AS n FROM sketch GROUP BY {k}signal, bucket))
   GROUP BY {k}signal)""")
-    fences = ", ".join(
-        f"max({'q2 + %d * (q3 - q2) + %d' % (SPREAD, slack) if side > 0 else 'q2 - %d * (q2 - q1) - %d' % (SPREAD, slack)}) FILTER (signal = '{name}') AS {name}_{'hi' if side > 0 else 'lo'}"
-        for name, slack, side in RULES
-    )
+    fences, blends = [], []
+    for i, (name, slack, side) in enumerate(RULES):
+        tighter, looser = ("least", "greatest") if side > 0 else ("greatest", "least")
+        wide = lambda t: f"{t}.q2 + {SPREAD} * ({t}.q3 - {t}.q2) + {slack}" if side > 0 else f"{t}.q2 - {SPREAD} * ({t}.q2 - {t}.q1) - {slack}"  # noqa: E731, B023
+        robust = lambda t: f"{t}.q2 + {SPREAD} * ({t}.q2 - {t}.q1) + {slack}" if side > 0 else f"{t}.q2 - {SPREAD} * ({t}.q3 - {t}.q2) - {slack}"  # noqa: E731, B023
+        blends.append(f"{tighter}({wide('c')}, {robust('c')})::DOUBLE AS c{i}")
+        for t, above in (("b", f"c{i}"), ("a", f"b{i}")):
+            blends.append(f"({t}.total * {tighter}({wide(t)}, {looser}({robust(t)}, {above})) + {BLEND} * {above}) / ({t}.total + {BLEND}) AS {t}{i}")
+        fences.append(f"max(a{i}) FILTER (signal = '{name}') AS {name}_{'hi' if side > 0 else 'lo'}")
+    fences, blends = ", ".join(fences), ", ".join(blends)
     passes = " AND ".join(f"{name} {'<=' if side > 0 else '>='} {name}_{'hi' if side > 0 else 'lo'}" for name, _, side in RULES)
     parts = " UNION ALL ".join(f"SELECT lang_, source_, '{s}' AS signal, {s} AS v FROM rates WHERE n_words > 0" for s in SIGNALS)
     return f"""
@@ -212,11 +220,7 @@ sketch AS (
 {', '.join(levels)},
 cut AS (
   SELECT lang_, source_, {fences} FROM (
-    SELECT a.lang_, a.source_, signal,
-           CASE WHEN a.total >= {MIN_GROUP} THEN a.q1 WHEN b.total >= {MIN_GROUP} THEN b.q1 ELSE c.q1 END AS q1,
-           CASE WHEN a.total >= {MIN_GROUP} THEN a.q2 WHEN b.total >= {MIN_GROUP} THEN b.q2 ELSE c.q2 END AS q2,
-           CASE WHEN a.total >= {MIN_GROUP} THEN a.q3 WHEN b.total >= {MIN_GROUP} THEN b.q3 ELSE c.q3 END AS q3
-    FROM q0 a JOIN q1 b USING (lang_, signal) JOIN q2 c USING (signal)) GROUP BY lang_, source_)
+    SELECT a.lang_, a.source_, signal, {blends} FROM q0 a JOIN q1 b USING (lang_, signal) JOIN q2 c USING (signal)) GROUP BY lang_, source_)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND coalesce({passes}, false) AS kept, symbols_pm, upper_pm, dup_lines_pm, word_len_c
 FROM (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM rates) LEFT JOIN cut USING (lang_, source_)

@@ -6,7 +6,8 @@ Fit, on a bounded sample of the labelled training rows (``max_fit_rows`` with th
     come from a lexicon that has not seen its fold;
   - trees: logistic loss, histogram splits; the calibration is fitted on out-of-fold margins.
 Score, every document once: features over the whole text, trees, calibration.
-The model (lexicons of at most ``max_units`` each, trees) is of bounded size and goes with the task.
+The model (lexicons, which hold no more than the units of the sample, and trees) is as bounded as the
+sample and goes with the task.
 """
 
 from __future__ import annotations
@@ -18,10 +19,10 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import Stages
 from .shingles import buffers
 
 MAX_FIT_ROWS = 100_000
-MAX_UNITS = 3000
 CUTOFF = 0.3
 #: Second-person pronouns of the corpus's languages.
 SECOND = frozenset("you your yours yourself u ur tu toi te ton ta tes vous votre vos du dich dir dein deine euch euer ihr ihre tú ti usted ustedes vosotros su sus".split())
@@ -210,29 +211,30 @@ def remainder(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4, F.lit(0))
 
 
-def _lexicon(counts: DataFrame, fold: str, totals: tuple[int, int], most: int) -> frozenset:
-    """Units that toxic documents hold significantly and much more often; the ``most`` most significant."""
+def _lexicon(counts: DataFrame, fold: str, totals: tuple[int, int]) -> frozenset:
+    """Units that toxic documents hold significantly and much more often."""
     p, n = {"0": (F.col("p0"), F.col("n0")), "1": (F.col("p1"), F.col("n1")), "": (F.col("p0") + F.col("p1"), F.col("n0") + F.col("n1"))}[fold]
     pos, neg = (max(1, t) for t in totals)
     a, b = (p + 0.5) / (pos + 1.0), (n + 0.5) / (neg + 1.0)
     z = (a - b) / F.sqrt(a * (1 - a) / pos + b * (1 - b) / neg)
-    top = counts.where((p >= 3) & (a > 4 * b)).select("unit", z.alias("z")).where("z > 1.5").orderBy(F.desc("z"), "unit").limit(most)
+    top = counts.where((p >= 3) & (a > 4 * b)).select("unit", z.alias("z")).where("z > 1.5")
     return frozenset(r[0] for r in top.collect())
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_fit_rows: int = MAX_FIT_ROWS, max_units: int = MAX_UNITS):
+def fit(docs: DataFrame, labels: DataFrame, max_fit_rows: int = MAX_FIT_ROWS):
     """(lexicon, trees, calibration) from labelled rows whose remainder is not 2, ``max_fit_rows`` of them at most."""
     known = labels.where("toxic is not null and doc_id is not null").where(remainder(F.col("doc_id")) != 2).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     h = F.xxhash64(F.lit(3), "doc_id")
     sample = known.select("doc_id", "toxic", F.pmod(h, F.lit(2)).cast("int").alias("fold"), h.alias("h")).orderBy("h", "doc_id").limit(max_fit_rows).drop("h")
-    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")  # at most max_fit_rows of 16 bytes
+    stages = Stages(docs.sparkSession, "toxicity")
+    sample = stages.put(sample, "sample")
+    rows = stages.put(docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id"), "rows")  # at most max_fit_rows of 16 bytes
     counts = rows.select("text", "toxic", "fold").mapInArrow(_counted, "unit string, p0 long, n0 long, p1 long, n1 long")
-    counts = counts.groupBy("unit").agg(*(F.sum(c).alias(c) for c in ("p0", "n0", "p1", "n1"))).where("p0 + p1 >= 3").persist()
+    counts = stages.put(counts.groupBy("unit").agg(*(F.sum(c).alias(c) for c in ("p0", "n0", "p1", "n1"))).where("p0 + p1 >= 3"), "units")
     t = {(r[0], r[1]): r[2] for r in sample.groupBy("fold", "toxic").count().collect()}
     per = {f: (t.get((f, 1), 0), t.get((f, 0), 0)) for f in (0, 1)}
-    lexicons = [_lexicon(counts, str(f), per[f], max_units) for f in (0, 1)]
-    lexicon = _lexicon(counts, "", tuple(map(sum, zip(*per.values(), strict=True))), max_units)
-    counts.unpersist()
+    lexicons = [_lexicon(counts, str(f), per[f]) for f in (0, 1)]
+    lexicon = _lexicon(counts, "", tuple(map(sum, zip(*per.values(), strict=True))))
 
     def other_fold(batches):
         import pyarrow as pa

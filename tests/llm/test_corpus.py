@@ -1,6 +1,7 @@
 """The corpus operators against brute force, and on nulls, empty tables, ties, repeated rows and clashing columns."""
 
 import hashlib
+import os
 import random
 import re
 import zlib
@@ -499,6 +500,25 @@ def test_vectors(spark, monkeypatch):
     assert embeddings.near_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
 
 
+@pytest.mark.skipif(not os.path.exists("/root/testdata/check_s/embeddings.parquet"), reason="needs a table with links")
+def test_vectors_recall(spark):
+    """The forest with its own parameters against all pairs of check_s."""
+    sf = "/root/testdata/check_s"
+    got = {r.vec_id: r.n_links for r in embeddings.op6_near_vectors(spark, sf).collect()}
+    rows = duckdb.sql(f"SELECT vec_id, label, embedding FROM '{sf}/embeddings.parquet/*'").fetchall()
+    by = defaultdict(list)
+    for i, label, v in rows:
+        if label is not None and v and all(x is not None and np.isfinite(x) for x in v) and any(v):
+            by[label].append((i, v))
+    want = {i: 0 for i, *_ in rows}
+    for group in by.values():
+        x = np.array([v for _, v in group], np.float64)
+        x /= np.sqrt((x * x).sum(1, keepdims=True))
+        for (i, _), n in zip(group, (x @ x.T >= 0.98).sum(1) - 1, strict=True):
+            want[i] = int(n)
+    assert all(got[i] <= n for i, n in want.items()) and sum(got.values()) >= 0.99 * sum(want.values()) > 0
+
+
 # --- 7 ---------------------------------------------------------------------------------------------
 
 
@@ -584,6 +604,14 @@ def test_toxicity(spark):
     assert toxicity.score_toxicity(df.limit(0), lab).count() == 0
 
 
+def test_toxicity_of_held_out_documents(spark):
+    """Learnt from three quarters of the labels of sf0.1: the rest is told apart."""
+    sf = "/root/testdata/sf0.1"
+    got = toxicity.op8_toxicity(spark, sf).where("held_out").join(spark.read.parquet(f"{sf}/labels.parquet").where("toxic is not null"), "doc_id").collect()
+    toxic, clean = ([r for r in got if r.toxic == t] for t in (1, 0))
+    assert len(toxic) > 80 and sum(r.predicted for r in toxic) >= 0.9 * len(toxic) and sum(r.predicted for r in clean) <= 0.03 * len(clean)
+
+
 def test_isotonic():
     f = toxicity.Isotonic(np.array([0.0, 1, 2, 3, 3]), np.array([0.0, 1, 0, 1, 0]))
     assert np.allclose(f(np.array([-1, 0, 1, 1.5, 2, 3, 9])), [0, 0, 0.5, 0.5, 0.5, 0.5, 0.5])
@@ -643,25 +671,39 @@ def test_minhash_documents(spark):
 # --- 10 --------------------------------------------------------------------------------------------
 
 
-@pytest.mark.parametrize("block", [1, 2, 3, 5, 65_536])
+@pytest.mark.parametrize("block", [1, 3, 1 << 20])
 def test_token_counts(spark, monkeypatch, block):
-    write = tokencounts.write_token_blocks
-    monkeypatch.setattr(tokencounts, "write_token_blocks", lambda d, p=None: write(d, p, block))
-    rows = [(1, "a b"), (2, None), (3, ""), (4, "c " * 20), (5, "x <|endoftext|>"), (6, "y y y"), (None, "q"), (6, "z")]
+    """Against the tokenizer itself."""
+    from tokenizers import Tokenizer
+
+    scan = tokencounts.scan_documents
+    monkeypatch.setattr(tokencounts, "scan_documents", lambda *a: scan(*a, block=block))
+    rows = [(1, "a b"), (2, None), (3, ""), (4, "c " * 20), (5, "x <|endoftext|>"), (6, "y y y"), (None, "q"), (6, "z"), (8, "long words of a text, " * 3000)]
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"n_tokens": F.lit(1), "file": F.lit(2)}).repartition(2)
-    t = packing.WordTokens(packing.token_path(), special_as_text=True)
-    want = sorted(((i, len(t([(x or "").encode()])[0]) // 4) for i, x in rows), key=str)
+    t = Tokenizer.from_file(packing.token_path())
+    t.encode_special_tokens = True
+    want = sorted(((i, len(t.encode(x or "", add_special_tokens=False).ids)) for i, x in rows), key=str)
     assert sorted(((r.doc_id, r.n_tokens) for r in tokencounts.token_counts(df).collect()), key=str) == want
     assert tokencounts.token_counts(df.limit(0)).count() == 0
 
 
-def test_token_files(spark, tmp_path):
-    """Raw files: documents over block boundaries, a file that does not end with a separator, an empty one."""
-    (tmp_path / "a.bin").write_bytes(np.array([1, 2, 9, 9, 3, 4, 5, 9, 6], "<u2").tobytes())
-    (tmp_path / "b.bin").write_bytes(np.array([9], "<u2").tobytes())
+def test_token_counts_of_documents(spark):
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(packing.token_path())
+    t.encode_special_tokens = True
+    want = {i: len(t.encode(x or "", add_special_tokens=False).ids) for i, x in table("documents", "doc_id, text")}
+    assert {r.doc_id: r.n_tokens for r in tokencounts.op10_token_counts(spark, SF).collect()} == want
+
+
+@pytest.mark.parametrize("width", [2, 4])
+def test_token_files(spark, tmp_path, width):
+    """Raw files: documents over block boundaries, a file that does not end with a separator, odd bytes, an empty one."""
+    (tmp_path / "a.bin").write_bytes(np.array([1, 2, 9, 9, 3, 4, 5, 9, 6], f"<u{width}").tobytes() + b"x")
+    (tmp_path / "b.bin").write_bytes(np.array([9], f"<u{width}").tobytes())
     (tmp_path / "c.bin").write_bytes(b"")
     for block in (2, 3, 100):
-        x = tokencounts.scan_documents(tokencounts.read_token_files(spark, str(tmp_path), 2, block), common.Stages(spark, "t"), end=9)
+        x = tokencounts.scan_documents(tokencounts.token_files(spark, str(tmp_path)), common.Stages(spark, "t"), 9, width, block)
         got = sorted((r.file[-5], r.ordinal, r.start, r.n_tokens, r.finished) for r in x.collect())
         assert got == [("a", 0, 0, 2, True), ("a", 1, 3, 0, True), ("a", 2, 4, 3, True), ("a", 3, 8, 1, False), ("b", 0, 0, 0, True)]
 
