@@ -23,16 +23,14 @@ class Config:
     log_url: str = ""  # where the change log is read
     sink_url: str = ""  # comma-separated destinations
     http_server_addr: str = "0.0.0.0:9000"
-    buffer_size: int = 10_000
+    buffer_size: int = 10_000  # publications of a shard that a destination may wait for
+    files_per_trigger: int = 1000  # files of the log that a micro-batch takes at most
     timestamp_flush_interval: float = 1.0
     max_catch_up: float = 120.0
     dedupe_expiration: float = 150.0
-    metadata_prefix: str = "rivulet::"
-    connect_timeout: float = 10.0
-    query_timeout: float = 5.0
+    positions_url: str = ""  # where positions and published keys are kept; the checkpoint folder if empty
     extract_subfield_changes: bool = False
     write_parallelism: int = 1
-    read_parallelism: int = 1
     denylist_url: str = ""
     resume_read_retries: int = 5
     resume_read_retry_delay: float = 0.5

@@ -61,49 +61,6 @@ def interval_report(maxima: DataFrame, at: Column, labels: list[str], interval_s
     return maxima.where(F.col("visible_from") == start).select(*labels, "value")
 
 
-class IntervalMax:
-    """The same value by value: report() keeps the maximum of the running interval, collect() returns that of the one before."""
-
-    def __init__(self, clock, interval_s: float = 60.0):
-        self.clock, self.interval = clock, interval_s
-        self.bucket, self.value, self.before = int(clock() // interval_s), None, (None, None)
-
-    def _turn(self) -> None:
-        b = int(self.clock() // self.interval)
-        if b < self.bucket:
-            raise RuntimeError("the clock went back")
-        if b > self.bucket:
-            self.before, self.bucket, self.value = (self.bucket, self.value), b, None
-
-    def report(self, value: float) -> None:
-        self._turn()
-        self.value = value if self.value is None else max(self.value, value)
-
-    def collect(self) -> float | None:
-        self._turn()
-        at, value = self.before
-        return value if at is not None and self.bucket - at == 1 else None
-
-
-class IntervalMaxByLabel:
-    """IntervalMax for each set of labels; sets without a running or recent value are dropped, at most once in ``every`` seconds."""
-
-    def __init__(self, clock, interval_s: float = 60.0, every: float = 5.0):
-        self.clock, self.interval, self.every = clock, interval_s, every
-        self.series: dict[tuple, IntervalMax] = {}
-        self.cleaned = clock()
-
-    def report(self, labels: tuple, value: float) -> None:
-        self.series.setdefault(labels, IntervalMax(self.clock, self.interval)).report(value)
-        if self.clock() - self.cleaned >= self.every:
-            self.cleaned = self.clock()
-            self.series = {k: s for k, s in self.series.items() if s.collect() is not None or s.value is not None}
-
-    def collect(self) -> dict[tuple, float]:
-        got = {k: s.collect() for k, s in self.series.items()}
-        return {k: v for k, v in got.items() if v is not None}
-
-
 def head_staleness(batches: DataFrame, stale: Column) -> DataFrame:
     """(ordinal, batch, staleness_s): of each batch's first publication (shard, batch, ts_t, ts_i, tx_idx), before it is sent."""
     return batches.groupBy(F.col("shard").alias("ordinal"), "batch").agg(F.min_by(stale, F.struct("ts_t", "ts_i", "tx_idx")).alias("staleness_s"))

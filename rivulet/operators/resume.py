@@ -32,10 +32,14 @@ def start_position(
     delay: float = 0.5,
     from_end_on_failure: bool = False,
     sleep: Callable[[float], None] | None = None,
+    observe: Callable[[str, float], None] = lambda status, gap_s: None,
 ) -> tuple[tuple[int, int], Exception | None]:
     """(position, error) for a runner: the same policy with a store that may fail.
 
     read returns the stored position or None.  Try k (from 0) is followed by a pause of k * delay.
+    observe hears of the gap in whole seconds: success for one that is caught up, failed for one that
+    is too old, and failed with 0 if no position could be read.  An error beside the position says that
+    the end of the log is not known.
     """
     import time
 
@@ -47,10 +51,15 @@ def start_position(
         except Exception as e:  # noqa: BLE001  any failure of the store counts
             error = e
             (sleep or time.sleep)(k * delay)
-    if error is not None and not from_end_on_failure:
-        raise error
-    if stored is not None and stored[0] > now_t - max_catch_up:
-        return stored, None
+    if error is not None:
+        observe("failed", 0)
+        if not from_end_on_failure:
+            raise error
+    if stored is not None:
+        young = stored[0] > now_t - max_catch_up
+        observe("success" if young else "failed", int(now_t - stored[0]))
+        if young:
+            return stored, None
     try:
         return end_of_log(), None
     except Exception as e:  # noqa: BLE001

@@ -22,9 +22,9 @@ def stream_log(spark: SparkSession, path: str, fmt: str = "parquet", files_per_t
 
 
 def read_denylist(spark: SparkSession, url: str, table: str = "denylist", **options) -> DataFrame:
-    """(entry): a folder of Parquet, or a JDBC table that has the column entry."""
+    """(entry): a JDBC table that has the column entry, or a folder of Parquet."""
     if url.startswith("jdbc:"):
-        return spark.read.format("jdbc").options(url=url, dbtable=table, **options).load().select("entry").distinct()
+        return spark.read.format("jdbc").options(url=url, dbtable=table, **options).load().selectExpr("entry").distinct()
     return spark.read.schema(DENYLIST).parquet(url).select("entry").distinct()
 
 

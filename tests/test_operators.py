@@ -164,27 +164,13 @@ def test_histogram_and_interval(spark):
     assert len(got) == 2 * 31 and (got["a", "0"], got["a", "8"], got["a", "16"], got["a", str(8 * 2**28)], got["a", "+Inf"], got["b", "8"]) == (1, 2, 3, 3, 4, 1)
 
 
-def test_interval_max():
-    now = [0.0]
-    m = metrics.IntervalMax(lambda: now[0], 1.0)
-    seen = []
-    for bucket, values in ((0, (12, 13, 14, 2, 0, -29, 12)), (1, ()), (2, (52, -12, 0, 512395, 18)), (3, (0,)), (4, (-1,)), (5, ())):
-        now[0] = bucket
-        seen.append(m.collect())
-        for v in values:
-            m.report(v)
-    assert seen == [None, 14, None, 512395, 0, -1]
-    now[0] = 1
-    with pytest.raises(RuntimeError):
-        m.report(1)
-    now[0] = 0.0
-    v = metrics.IntervalMaxByLabel(lambda: now[0], 1.0, every=5.0)
-    v.report(("a",), 1)
-    now[0] = 1.0
-    assert v.collect() == {("a",): 1}
-    now[0] = 10.0
-    v.report(("b",), 2)
-    assert list(v.series) == [("b",)]
+def test_interval_max(spark):
+    """What a reader sees is the maximum of the interval before, and nothing if that had no value."""
+    at = lambda s: datetime.fromtimestamp(s, timezone.utc).replace(tzinfo=None)
+    df = spark.createDataFrame([("a", at(5), 7), ("a", at(59), -3), ("a", at(130), -8), ("b", at(70), 1), ("a", at(190), 0)], "k string, t timestamp, v long")
+    maxima = metrics.interval_max(df, "t", "v", ["k"])
+    seen = {s: {r.k: r["value"] for r in metrics.interval_report(maxima, F.lit(at(s)), ["k"]).collect()} for s in (30, 61, 125, 185, 240, 300)}
+    assert seen == {30: {}, 61: {"a": 7}, 125: {"b": 1}, 185: {"a": -8}, 240: {"a": 0}, 300: {}}
 
 
 def test_denylist(spark, tmp_path):
