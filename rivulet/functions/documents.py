@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 import re
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -56,21 +57,28 @@ def id_text(v: Column) -> Column:
 # --- updates ---------------------------------------------------------------------------------------
 
 
+def _let(value: Column, body) -> Column:
+    """body(value), with value computed once."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def is_v2(doc: Column) -> Column:
     """$v is the number 2 and there is a diff."""
-    v = F.from_json(doc, "`$v` variant")["$v"]
-    number = F.schema_of_variant(v).rlike("^(BIGINT|DOUBLE|DECIMAL.*|INT|SMALLINT|TINYINT|FLOAT)$")
-    two = F.try_variant_get(v, "$", "double") == 2.0
-    return has_key(doc, "diff") & F.coalesce(number & two, F.lit(False))  # keys first: most documents end there
+    return update_kind(F.lit("u"), doc) == "v2"
 
 
 def is_replacement(doc: Column) -> Column:
     """Neither $set nor $unset is a key (even with null), and it is no v2 update."""
-    return ~has_key(doc, "$set") & ~has_key(doc, "$unset") & ~is_v2(doc)
+    return update_kind(F.lit("u"), doc) == "replacement"
 
 
 def update_kind(op: Column, doc: Column) -> Column:
-    return F.when(op != "u", None).when(is_v2(doc), "v2").when(is_replacement(doc), "replacement").otherwise("v1")
+    """v2, replacement or v1 of an update, else null; the keys are read once, $v only beside a diff."""
+    number = lambda v: F.schema_of_variant(v).rlike("^(BIGINT|DOUBLE|DECIMAL.*|INT|SMALLINT|TINYINT|FLOAT)$") & (F.try_variant_get(v, "$", "double") == 2.0)
+    two = F.coalesce(_let(F.from_json(doc, "`$v` variant")["$v"], number), F.lit(False))
+    has = lambda ks, key: F.array_contains(ks, key)
+    kind = lambda ks: F.when(has(ks, "diff") & two, "v2").when(has(ks, "$set") | has(ks, "$unset"), "v1").otherwise("replacement")
+    return F.when(op == "u", _let(keys(doc), kind))
 
 
 # --- changed fields --------------------------------------------------------------------------------
@@ -84,25 +92,24 @@ def _doc_keys(v: Column) -> Column:
     return F.when(_is_doc(v), F.json_object_keys(F.to_json(v))).otherwise(F.array().cast(_NONE))
 
 
+def _of_entries(doc: Column, fields, bad) -> Column:
+    """Struct (fields, n_bad) of a document whose entries (key, value) give fields(e) and may be bad(e); the document is parsed once."""
+    return _let(F.map_entries(_values(doc)), lambda es: _marked(F.flatten(F.transform(es, fields)), F.size(F.filter(es, bad))))
+
+
 def modifier_fields(doc: Column) -> Column:
     """Struct (fields, n_bad) of a v1 update: the keys of each modifier but $v; other values than documents count as bad."""
-    m = _values(doc)
-    ks = F.filter(F.map_keys(m), lambda k: k != "$v")
-    fields = F.flatten(F.transform(ks, lambda k: _doc_keys(F.try_element_at(m, k))))
-    bad = F.size(F.filter(ks, lambda k: ~_is_doc(F.try_element_at(m, k))))
-    return _marked(fields, bad)
+    return _of_entries(doc, lambda e: F.when(e["key"] != "$v", _doc_keys(e["value"])).otherwise(F.array().cast(_NONE)), lambda e: (e["key"] != "$v") & ~_is_doc(e["value"]))
 
 
 def shallow_diff(diff: Column) -> Column:
     """Struct (fields, n_bad) of a v2 diff's top level."""
-    m = _values(diff)
-    ks = F.map_keys(m)
-    crud = lambda k: k.isin("i", "u", "d")
-    sub = lambda k: ~crud(k) & F.startswith(k, F.lit("s"))
-    quiet = lambda k: (k == "a") | F.startswith(k, F.lit("o"))
-    one = lambda k: F.when(crud(k), _doc_keys(F.try_element_at(m, k))).when(sub(k), F.array(F.substr(k, F.lit(2)))).otherwise(F.array().cast(_NONE))
-    wrong = lambda k: F.when(crud(k), ~_is_doc(F.try_element_at(m, k))).otherwise(~sub(k) & ~quiet(k))
-    return _marked(F.flatten(F.transform(ks, one)), F.size(F.filter(ks, wrong)))
+    crud = lambda e: e["key"].isin("i", "u", "d")
+    sub = lambda e: ~crud(e) & F.startswith(e["key"], F.lit("s"))
+    quiet = lambda e: (e["key"] == "a") | F.startswith(e["key"], F.lit("o"))
+    one = lambda e: F.when(crud(e), _doc_keys(e["value"])).when(sub(e), F.array(F.substr(e["key"], F.lit(2)))).otherwise(F.array().cast(_NONE))
+    wrong = lambda e: F.when(crud(e), ~_is_doc(e["value"])).otherwise(~sub(e) & ~quiet(e))
+    return _of_entries(diff, one, wrong)
 
 
 def is_array_operator(doc: Column) -> Column:
@@ -111,54 +118,68 @@ def is_array_operator(doc: Column) -> Column:
     return F.coalesce(F.array_contains(ks, "a") & F.forall(ks, lambda k: (k == "a") | k.rlike(r"^u[0-9]+")), F.lit(False))
 
 
-def _leaves(prefix: str, doc: dict, out: list[str]) -> None:
-    for k, v in doc.items():
-        if isinstance(v, dict) and v:
-            _leaves(f"{prefix}{k}.", v, out)
-        else:
-            out.append(prefix + k)
-
-
-def walk_diff(diff: dict, prefix: str = "") -> tuple[list[str], int]:
-    """(dotted paths that a v2 diff touches, entries that cannot be read)."""
-    fields: list[str] = []
-    bad = 0
-    for k, v in diff.items():
-        doc = isinstance(v, dict)
-        if k in ("i", "u", "d"):
-            if doc:
-                _leaves(prefix, v, fields)
+_INDEX = re.compile(r"u[0-9]+")
+
+
+def walk_diff(diff: dict) -> tuple[list[str], int]:
+    """(dotted paths that a v2 diff touches, sorted; entries that cannot be read).
+
+    A list of what is still to be read, not a recursion: (path so far, document, whether it is a diff).
+    In a plain document, whatever is no document with keys of its own is a path; a diff names what it
+    inserts, updates or deletes (i, u, d: plain documents), array places (a document that
+    is_array_operator holds for) and documents below (s and the field's name: diffs).
+    """
+    fields, bad, todo = [], 0, [("", diff, True)]
+    while todo:
+        path, doc, is_diff = todo.pop()
+        for k, v in doc.items():
+            below = isinstance(v, dict)
+            if not is_diff:
+                if below and v:
+                    todo.append((f"{path}{k}.", v, False))
+                else:
+                    fields.append(path + k)
+            elif k in ("i", "u", "d") and below:
+                todo.append((path, v, False))
+            elif k not in ("i", "u", "d") and below and "a" in v and all(x == "a" or _INDEX.match(x) for x in v):
+                fields += [f"{path}{k[1:]}.{x[1:]}" for x in v if x != "a"]
+            elif k[:1] == "s" and below:
+                todo.append((f"{path}{k[1:]}.", v, True))
             else:
-                bad += 1
-        elif doc and "a" in v and all(x == "a" or re.match(r"u\d+", x, re.A) for x in v):
-            fields += [f"{prefix}{k[1:]}.{x[1:]}" for x in v if x != "a"]
-        elif k.startswith("s") and doc:
-            below, n = walk_diff(v, f"{prefix}{k[1:]}.")
-            fields += below
-            bad += n
-        elif k != "a":
-            bad += 1
+                bad += k != "a"
     return sorted(fields), bad
 
 
 DEEP = T.StructType([T.StructField("fields", T.ArrayType(T.StringType())), T.StructField("n_bad", T.IntegerType())])
 
 
-@F.udf(DEEP, useArrow=True)
-def deep_diff(diff: str):
-    """Struct (fields, n_bad) of a v2 diff, with the paths inside documents; the nesting has no bound, so this is no built-in expression."""
-    try:
-        d = json.loads(diff) if diff is not None else None
-    except ValueError:
-        d = None
-    return walk_diff(d) if isinstance(d, dict) else ([], 1)
+@F.pandas_udf(DEEP)
+def deep_diff(diffs: pd.Series) -> pd.DataFrame:
+    """Struct (fields, n_bad) of v2 diffs, a batch at a time, with the paths inside documents; nulls, rows without a diff, are passed over.
+
+    The nesting has no bound, so this is no built-in expression.
+    """
+    fields, bad = [[]] * len(diffs), [1] * len(diffs)
+    for i, text in enumerate(diffs):
+        if text is not None:
+            try:
+                d = json.loads(text)
+            except ValueError:
+                continue
+            if isinstance(d, dict):
+                fields[i], bad[i] = walk_diff(d)
+    return pd.DataFrame({"fields": fields, "n_bad": bad})
+
 
+def changed_fields(op: Column, doc: Column, deep: bool = False, kind: Column | None = None) -> Column:
+    """Struct (fields, n_bad): what an insert, update or delete touched; fields is never null.
 
-def changed_fields(op: Column, doc: Column, deep: bool = False) -> Column:
-    """Struct (fields, n_bad): what an insert, update or delete touched; fields is never null."""
-    diff = F.get_json_object(doc, "$.diff")
+    kind: update_kind of the same, where it is a column already.
+    """
+    kind = update_kind(op, doc) if kind is None else kind
+    diff = F.when(kind == "v2", F.get_json_object(doc, "$.diff"))
     v2 = deep_diff(diff) if deep else shallow_diff(diff)
     plain = _marked(keys(doc), F.lit(0))
     nothing = _marked(F.array(), F.lit(0))
-    got = F.when(op == "i", plain).when((op == "u") & is_v2(doc), v2).when((op == "u") & is_replacement(doc), plain).when(op == "u", modifier_fields(doc)).otherwise(nothing)
-    return _marked(F.coalesce(got["fields"], F.array().cast(_NONE)), F.coalesce(got["n_bad"], F.lit(1)))
+    got = F.when((op == "i") | (kind == "replacement"), plain).when(kind == "v2", v2).when(kind == "v1", modifier_fields(doc)).otherwise(nothing)
+    return _let(got, lambda c: _marked(F.coalesce(c["fields"], F.array().cast(_NONE)), F.coalesce(c["n_bad"], F.lit(1)))) if not deep else got

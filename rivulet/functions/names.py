@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from urllib.parse import parse_qs
+from urllib.parse import parse_qs, urlsplit
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -42,30 +42,53 @@ def split_channels(c: Column) -> Column:
     return F.filter(F.split(c, r"\$"), lambda x: x != "")
 
 
+SENTINEL = "redis-sentinel://"
+
+
+def _after(text: Column, at: Column) -> Column:
+    return F.substring(text, at + 1, F.length(text))
+
+
 def sentinel_parts(url: Column) -> dict[str, Column]:
     """password, endpoints (array), db, master, valid of redis-sentinel://[password@]host:port[,host:port][/db][?sentinelMasterId=name].
 
-    Parts of an invalid URL are null.
+    The query is form-encoded.  Parts of an invalid URL are null; a db beyond 64 bits is invalid.
     """
-    base = F.substring_index(url, "?", 1)
-    query = F.when(F.instr(url, "?") > 0, F.substring(url, F.instr(url, "?") + 1, F.length(url))).otherwise(F.lit(""))
-    pattern = r"^redis-sentinel://(?:([^@]+)@)?([^/]+?)(?:/([0-9]+))?$"
-    part = lambda i: F.regexp_extract(base, pattern, i)
-    ends = F.split(part(2), ",")
-    valid = F.coalesce(base.rlike(pattern) & F.forall(ends, lambda x: x.rlike(r"^[^:]+:[0-9]+$")), F.lit(False))
-    master = F.regexp_extract(query, r"(?:^|&)sentinelMasterId=([^&]*)", 1)
-    out = {"password": part(1), "endpoints": ends, "db": F.when(part(3) == "", F.lit(0)).otherwise(part(3).cast("int")), "master": master}
-    return {k: F.when(valid, v) for k, v in out.items()} | {"valid": valid}
+    mark = F.instr(url, "?")
+    base, query = F.substring_index(url, "?", 1), F.when(mark > 0, _after(url, mark)).otherwise("")
+    rest = F.when(F.startswith(base, F.lit(SENTINEL)), _after(base, F.lit(len(SENTINEL))))
+    at = F.instr(rest, "@")  # a password has a character at least
+    password, tail = F.when(at > 1, F.substring_index(rest, "@", 1)).otherwise(""), F.when(at > 1, _after(rest, at)).otherwise(rest)
+    slash = F.instr(tail, "/")
+    ends, number = F.split(F.substring_index(tail, "/", 1), ","), F.when(slash > 0, _after(tail, slash))
+    db = F.when(slash == 0, F.lit(0).cast("long")).when(number.rlike(r"^[0-9]+\z"), number.try_cast("bigint"))
+    host_port = lambda x: (F.size(x) == 2) & (F.get(x, 0) != "") & F.coalesce(F.get(x, 1).rlike(r"^[0-9]+\z"), F.lit(False))
+    pairs = F.transform(F.filter(F.split(query, "&"), lambda p: p != ""), lambda p: F.struct(F.try_url_decode(F.substring_index(p, "=", 1)).alias("k"), F.try_url_decode(F.when(F.instr(p, "=") > 0, _after(p, F.instr(p, "="))).otherwise("")).alias("v")))
+    read = ~F.contains(query, F.lit(";")) & F.forall(pairs, lambda p: p["k"].isNotNull() & p["v"].isNotNull())
+    master = F.coalesce(F.get(F.filter(pairs, lambda p: p["k"] == "sentinelMasterId"), 0)["v"], F.lit(""))
+    valid = F.coalesce(F.forall(ends, lambda x: host_port(F.split(x, ":"))) & db.isNotNull() & read, F.lit(False))
+    return {k: F.when(valid, v) for k, v in {"password": password, "endpoints": ends, "db": db, "master": master}.items()} | {"valid": valid}
 
 
 def parse_destination(url: str) -> dict:
     """The same for one URL on the driver; redis:// and rediss:// also. Raises ValueError on others."""
     base, _, query = url.partition("?")
-    if m := re.fullmatch(r"redis-sentinel://(?:([^@]+)@)?([^/]+)(?:/(\d+))?", base):
-        ends = m[2].split(",")
-        if not all(re.fullmatch(r"[^:]+:\d+", x) for x in ends):
-            raise ValueError(f"bad endpoints: {url}")
-        return {"kind": "sentinel", "password": m[1] or "", "endpoints": ends, "db": int(m[3] or 0), "master": parse_qs(query).get("sentinelMasterId", [""])[0], "tls": False}
-    if m := re.fullmatch(r"(rediss?)://(?:([^:@/]*)(?::([^@/]*))?@)?([^:/@]+)(?::(\d+))?(?:/(\d+))?", base):
-        return {"kind": "single", "password": m[3] or "", "endpoints": [f"{m[4]}:{m[5] or 6379}"], "db": int(m[6] or 0), "master": "", "tls": m[1] == "rediss"}
-    raise ValueError(f"not a destination URL: {url}")
+    scheme, sep, rest = base.partition("://")
+    if not sep or scheme not in ("redis", "rediss", "redis-sentinel") or re.search(r"%(?![0-9A-Fa-f]{2})", query) or ";" in query:
+        raise ValueError(f"not a destination URL: {url}")
+    if scheme == "redis-sentinel":
+        before, found, after = rest.partition("@")
+        password, tail = (before, after) if found and before else ("", rest)
+        ends, slash, db = tail.partition("/")
+        if slash and not db.isascii() or slash and not db.isdigit() or int(db or 0) >= 1 << 63:
+            raise ValueError(f"bad db: {url}")
+        for end in ends.split(","):
+            host, _, port = end.partition(":")
+            if not host or not (port.isascii() and port.isdigit()):
+                raise ValueError(f"bad endpoints: {url}")
+        return {"kind": "sentinel", "password": password, "endpoints": ends.split(","), "db": int(db or 0), "master": parse_qs(query, keep_blank_values=True).get("sentinelMasterId", [""])[0], "tls": False}
+    u = urlsplit(base)
+    db = u.path.removeprefix("/")
+    if not u.hostname or db and not db.isdigit():
+        raise ValueError(f"not a destination URL: {url}")
+    return {"kind": "single", "password": u.password or "", "endpoints": [f"{u.hostname}:{u.port or 6379}"], "db": int(db or 0), "master": "", "tls": scheme == "rediss"}

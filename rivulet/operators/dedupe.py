@@ -18,12 +18,13 @@ def first_only(df: DataFrame, order: str = "arrival") -> DataFrame:
     return x.select(*KEY, "x.*")
 
 
-def with_ttl(df: DataFrame, ttl_s: float, order: str = "arrival_s") -> DataFrame:
+def with_ttl(df: DataFrame, ttl_s: float, order: str = "arrival_s", carry: list[str] = ()) -> DataFrame:
     """Keys with each arrival (seconds) and whether it publishes: the first, and each that comes ttl or more after the last that did.
 
     Duplicates do not prolong the time.  A key's arrivals, a few copies each, are folded in order.
+    carry: columns that a key's rows agree in.
     """
-    a = df.groupBy(*KEY).agg(F.sort_array(F.collect_list(order)).alias("a"))
+    a = df.groupBy(*KEY).agg(F.sort_array(F.collect_list(order)).alias("a"), *(F.min(c).alias(c) for c in carry))
     zero = F.struct(F.lit(None).cast("double").alias("last"), F.array().cast("array<boolean>").alias("out"))
 
     def step(acc, x):
@@ -32,4 +33,4 @@ def with_ttl(df: DataFrame, ttl_s: float, order: str = "arrival_s") -> DataFrame
 
     a = a.withColumn("out", F.aggregate("a", zero, step)["out"])
     z = F.explode(F.arrays_zip("a", "out")).alias("z")
-    return a.select(*KEY, z).select(*KEY, F.col("z.a").alias(order), F.col("z.out").alias("published"))
+    return a.select(*KEY, *carry, z).select(*KEY, *carry, F.col("z.a").alias(order), F.col("z.out").alias("published"))

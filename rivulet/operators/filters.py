@@ -21,12 +21,6 @@ def denylist_filter(df: DataFrame, denylist: DataFrame) -> DataFrame:
     return df.join(listed, (F.when(exempt, None).otherwise(F.col("db")) == F.col("_entry")), "left_anti")
 
 
-def filtered(df: DataFrame, denylist: DataFrame) -> DataFrame:
-    """The entries that denylist_filter drops."""
-    exempt = F.coalesce(F.col("ns"), F.lit("")).isin("", ADMIN)
-    return df.where(~exempt).join(denylist.select(F.col("entry").alias("db")).distinct(), "db", "left_semi")
-
-
 def crud_ops(df: DataFrame) -> DataFrame:
     """Inserts, updates, deletes, and commands of the admin namespace."""
     return df.where(F.col("op").isin(*CRUD) | ((F.col("op") == "c") & (F.col("ns") == ADMIN)))

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import documents, names
+from . import filters, flatten
+
 #: Upper bounds of the histograms.
 SIZE_BOUNDS = [0, *(8 * 2**k for k in range(29))]
 GAP_BOUNDS = [1, 2.5, 5, 10, 25, 50, 100, 250, 500, 1000]
@@ -35,17 +38,28 @@ def _text(b: float) -> str:
     return str(int(b)) if float(b).is_integer() else str(b)
 
 
-def entry_metrics(processed: DataFrame) -> DataFrame:
-    """(ts_t, ts_i, wall, size, database, status): one row for each entry with a publication.
+def entry_metrics(log: DataFrame, denylist: DataFrame | None = None) -> DataFrame:
+    """(ts_t, ts_i, wall, size, database, status): one row for each entry (with size, its bytes) with a publication.
 
-    processed: process()'s rows with size, the entry's bytes.  status is error if any operation failed
-    beside one that did not, else processed; database is the first operation's.
+    status is error if any operation failed beside one that did not, else processed; database is that
+    of the first operation with an id.  All within the row: an entry's operations are never exploded,
+    so nothing is shuffled to bring them together again.
     """
-    g = processed.groupBy("ts_t", "ts_i").agg(
-        F.max("wall").alias("wall"), F.max("size").alias("size"), F.min("first_db").alias("database"),
-        F.count("msg").alias("n_ok"), F.count("error").alias("n_failed"),
-    )
-    return g.where("n_ok > 0").select("ts_t", "ts_i", "wall", "size", F.when(F.col("database") == "", "(no database)").otherwise(F.col("database")).alias("database"), F.when(F.col("n_failed") > 0, "error").otherwise("processed").alias("status"))
+
+    def state(x: Column) -> Column:
+        """none, ok or failed, as process() would find the operation; null without an id."""
+        db, coll = names.database(x["ns"]), names.collection(x["ns"])
+        doc = filters.id_source(x["op"], x["o"], x["o2"])
+        kind = F.get(F.transform(F.array(documents.id_variant(doc)), documents.id_kind), 0)
+        quiet = coll.startswith("system.") | (db == "config")
+        typed = F.when(quiet, "none").when(kind == "unsupported", "failed").otherwise("ok")
+        return F.struct(F.when(~flatten.is_crud(x), "failed").when(documents.has_key(doc, "_id"), typed).alias("state"), F.coalesce(db, F.lit("")).alias("db"))
+
+    d = flatten.operations(log, denylist).withColumn("_s", F.filter(F.transform("_ops", state), lambda s: s["state"].isNotNull()))
+    d = d.where(F.exists("_s", lambda s: s["state"] == "ok"))
+    database = F.coalesce(F.nullif(F.get("_s", 0)["db"], F.lit("")), F.lit("(no database)"))
+    status = F.when(F.exists("_s", lambda s: s["state"] == "failed"), "error").otherwise("processed")
+    return d.select("ts_t", "ts_i", "wall", "size", database.alias("database"), status.alias("status"))
 
 
 def interval_max(df: DataFrame, time: str, value: str, labels: list[str], interval: str = "1 minute") -> DataFrame:
@@ -69,3 +83,14 @@ def head_staleness(batches: DataFrame, stale: Column) -> DataFrame:
 def staleness(as_of: Column, wall: Column) -> Column:
     """Seconds from wall to as_of, 0 if the clocks disagree."""
     return F.greatest((F.unix_micros(as_of) - F.unix_micros(wall)) / 1e6, F.lit(0.0))
+
+
+def oldest_pending(pubs: DataFrame, positions: DataFrame, as_of: Column) -> DataFrame:
+    """positions (ordinal, client_index, ts_t, ts_i: what a destination has of a shard) with age_s, of the oldest publication (shard, ts_t, ts_i) beyond it; 0 if there is none.
+
+    as_of: seconds.  positions has a row for each shard and destination.
+    """
+    p = positions.select("ordinal", "client_index", F.struct("ts_t", "ts_i").alias("at"))
+    waiting = pubs.select(F.col("shard").alias("ordinal"), F.struct("ts_t", "ts_i").alias("x")).join(p, "ordinal").where(F.col("x") > F.col("at"))
+    oldest = waiting.groupBy("ordinal", "client_index").agg(F.min("x.ts_t").alias("oldest"))
+    return positions.select("ordinal", "client_index").join(oldest, ["ordinal", "client_index"], "left").select("ordinal", "client_index", F.coalesce(as_of - F.col("oldest"), F.lit(0)).cast("long").alias("age_s"))

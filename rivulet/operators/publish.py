@@ -34,8 +34,9 @@ def process(ops: DataFrame, deep: bool = False) -> DataFrame:
     d = filters.not_config(filters.not_system(d.where(F.col("op").isin(*filters.CRUD))))  # by name, before documents are read
     d = filters.with_doc_id(d).unionByName(too_deep)
     error = F.when(~F.col("op").isin(*filters.CRUD), "transactions nested too deep").when(F.col("id_kind") == "unsupported", "unsupported document _id type")
-    d = d.withColumns({"error": error, "e": filters.event_name(F.col("op")), "_c": documents.changed_fields(F.col("op"), F.col("o"), deep)})
-    d = d.withColumns({"fields": F.col("_c.fields"), "n_bad": F.col("_c.n_bad")}).drop("_c")
+    d = d.withColumns({"error": error, "e": filters.event_name(F.col("op")), "_kind": documents.update_kind(F.col("op"), F.col("o"))})
+    d = d.withColumn("_c", documents.changed_fields(F.col("op"), F.col("o"), deep, F.col("_kind")))
+    d = d.withColumns({"fields": F.coalesce("_c.fields", F.array().cast("array<string>")), "n_bad": F.coalesce("_c.n_bad", F.lit(1))}).drop("_c", "_kind")
     ok = F.col("error").isNull()
     return d.withColumns(
         {
@@ -75,5 +76,11 @@ def fan_out(pubs: DataFrame, destinations: list[str]) -> DataFrame:
 
 
 def batches(pubs: DataFrame, size: int) -> DataFrame:
-    """pubs (shard, ...) with batch: consecutive runs of ``size`` of a shard's publications."""
-    return pubs.selectExpr("*", f"cast(floor((row_number() over (partition by shard order by ts_t, ts_i, tx_idx) - 1) / {int(size)}) as bigint) as batch")
+    """pubs (shard, ...) with batch: consecutive runs of ``size`` of a shard's publications.
+
+    Places are counts of the minutes before plus the place within the minute, so no shard is sorted in one task.
+    """
+    p = pubs.withColumn("_minute", F.expr("ts_t div 60"))
+    before = p.groupBy("shard", "_minute").agg(F.count(F.lit(1)).alias("_n")).selectExpr("shard", "_minute", "sum(_n) over (partition by shard order by _minute) - _n as _before")
+    p = p.selectExpr("*", "row_number() over (partition by shard, _minute order by ts_t, ts_i, tx_idx) - 1 as _r").join(before, ["shard", "_minute"])
+    return p.withColumn("batch", F.floor((F.col("_before") + F.col("_r")) / int(size)).cast("long")).select(*pubs.columns, "batch")

@@ -66,16 +66,24 @@ def start_position(
         return (int(now_t), 0), e
 
 
+def gaps(decisions: DataFrame) -> DataFrame:
+    """(status, gap_s) of resume_decisions: success and failed with the stored position's age in whole seconds, failed with 0 where it could not be read; a missing one is no gap."""
+    age = F.floor(F.col("as_of_t") - F.col("stored_t")).cast("long")
+    status = F.when(F.col("decision") == "resume", "success").otherwise("failed")
+    return decisions.where("store_failed or stored_t is not null").select(status.alias("status"), F.when(F.col("store_failed"), F.lit(0).cast("long")).otherwise(age).alias("gap_s"))
+
+
 def streaks(stops: DataFrame) -> DataFrame:
     """stops (run_id, started_t, stopped_t) with streak and level.
 
     A run of HEALTHY_S or more restarts the streak at 1; each earlier stop adds one; ERROR_STREAK in a
-    row is an error.
+    row is an error.  Healthy runs are counted by day, so only a row for each day is in one task.
     """
-    long = (F.col("stopped_t") - F.col("started_t") >= HEALTHY_S).cast("int")
-    d = stops.withColumn("_long", long).selectExpr("*", "sum(_long) over (order by started_t, run_id) as _part")
-    d = d.selectExpr("*", "row_number() over (partition by _part order by started_t, run_id) as streak").drop("_long", "_part")
-    return d.withColumn("level", F.when(F.col("streak") >= ERROR_STREAK, "error").otherwise("warn"))
+    d = stops.withColumns({"_long": (F.col("stopped_t") - F.col("started_t") >= HEALTHY_S).cast("long"), "_day": F.floor(F.col("started_t") / 86_400)})
+    days = d.groupBy("_day").agg(F.sum("_long").alias("_n")).selectExpr("_day", "sum(_n) over (order by _day) - _n as _before")
+    d = d.join(days, "_day").selectExpr("*", "_before + sum(_long) over (partition by _day order by started_t, run_id) as _part")
+    d = d.selectExpr("*", "row_number() over (partition by _part order by started_t, run_id) as streak")
+    return d.withColumn("level", F.when(F.col("streak") >= ERROR_STREAK, "error").otherwise("warn")).select(*stops.columns, "streak", "level")
 
 
 class Streak:

@@ -67,9 +67,13 @@ entries AS (
   SELECT ts_t, ts_i, max(octet_length(encode(raw)))::BIGINT AS size, min(first_db) AS database, CASE WHEN bool_or(failed) THEN 'error' ELSE 'processed' END AS status
   FROM proc GROUP BY ts_t, ts_i HAVING bool_or(NOT failed)),
 two AS (
-  SELECT ts_t, ts_i, tx_idx, msg, 1 AS instance, ts_t AS arrival_s FROM pubs UNION ALL SELECT ts_t, ts_i, tx_idx, msg, 2, ts_t + ts_i % 300 FROM pubs),
+  SELECT ts_t, ts_i, tx_idx, msg, 1 AS instance, ts_t AS arrival_s, shard FROM sharded UNION ALL SELECT ts_t, ts_i, tx_idx, msg, 2, ts_t + ts_i % 300, shard FROM sharded),
+batched AS (
+  SELECT *, r // 25 AS batch FROM (SELECT shard AS ordinal, ts_i, row_number() OVER (PARTITION BY shard ORDER BY ts_t, ts_i, tx_idx) - 1 AS r FROM sharded)),
+sent AS (
+  SELECT ordinal, CASE WHEN arg_min(ts_i, r) % 97 = 0 THEN 'failed' ELSE 'sent' END AS status, count(*) AS size FROM batched GROUP BY ordinal, batch),
 status AS (
-  SELECT ts_t, ts_i, tx_idx, arrival_s, instance = 1 OR ts_i % 300 >= 150 AS published FROM two),
+  SELECT ts_t, ts_i, tx_idx, arrival_s, shard, instance = 1 OR ts_i % 300 >= 150 AS published FROM two),
 cases AS (
   SELECT ts_i AS case_id, CASE WHEN ts_i % 5 = 0 THEN NULL ELSE ts_t - ts_i % 300 END AS stored_t, ts_i % 11 = 0 AS store_failed, CASE WHEN ts_i % 13 = 0 THEN NULL ELSE ts_t - 1 END AS end_t, ts_t AS as_of_t FROM log),
 edits AS (SELECT event_id AS seq, CASE WHEN (event_id * 7) % 3 = 0 THEN 'remove' ELSE 'add' END AS verb, 'db' || (user_id % 12) AS entry FROM events)
@@ -113,13 +117,13 @@ SQL = {
         "publish_log": f"SELECT shard, ns || '$' || ns || '::' || id_text AS channels, msg, {_POSITION} AS position, tx_idx FROM sharded",
         "publish_status": "SELECT ts_t, ts_i, tx_idx, arrival_s, CASE WHEN published THEN 'published' ELSE 'duplicate' END AS status FROM status",
         "dedupe_first": "SELECT ts_t, ts_i, tx_idx, msg, instance, arrival_s FROM two WHERE instance = 1",
-        "dedupe_ttl": "SELECT * FROM status",
+        "dedupe_ttl": "SELECT ts_t, ts_i, tx_idx, arrival_s, published FROM status",
         "ha_dedupe": "SELECT 1 AS instance, count(*) AS n, count(DISTINCT ts_i) AS n_entries FROM pubs",
         "fanout_destinations": "SELECT ts_i, tx_idx, msg, unnest(['a', 'b']) AS destination FROM pubs",
         "parse_sentinel_url": """SELECT event_id, 'redis-sentinel://' || CASE WHEN event_id % 3 = 0 THEN 'pw' || user_id || '@' ELSE '' END || ends || CASE WHEN event_id % 5 = 0 THEN '/' || (event_id % 16) ELSE '' END ||
             CASE WHEN event_id % 4 = 0 THEN '?sentinelMasterId=m' || (event_id % 9) ELSE '' END AS url, valid,
           CASE WHEN valid THEN CASE WHEN event_id % 3 = 0 THEN 'pw' || user_id ELSE '' END END AS password, CASE WHEN valid THEN ends END AS endpoints,
-          CASE WHEN valid THEN CASE WHEN event_id % 5 = 0 THEN event_id % 16 ELSE 0 END END::INTEGER AS db, CASE WHEN valid THEN CASE WHEN event_id % 4 = 0 THEN 'm' || (event_id % 9) ELSE '' END END AS master
+          CASE WHEN valid THEN CASE WHEN event_id % 5 = 0 THEN event_id % 16 ELSE 0 END END::BIGINT AS db, CASE WHEN valid THEN CASE WHEN event_id % 4 = 0 THEN 'm' || (event_id % 9) ELSE '' END END AS master
           FROM (SELECT *, event_id % 2 <> 0 OR event_id % 7 <> 0 AS valid, 'h' || user_id || ':' || (7000 + event_id % 100) || CASE WHEN event_id % 2 = 0 THEN ',g' || user_id || ':' || CASE WHEN event_id % 7 = 0 THEN 'x' ELSE '1' END ELSE '' END AS ends FROM events)""",
         "denylist_apply": """SELECT entry FROM (SELECT entry, arg_max(verb, seq) AS verb FROM edits GROUP BY entry) WHERE verb = 'add'
           UNION SELECT e FROM (VALUES ('db3'), ('db6')) AS d(e) WHERE e NOT IN (SELECT entry FROM edits)""",
@@ -158,24 +162,23 @@ SQL = {
         "entries_received": "SELECT database, status, count(*) AS n FROM entries GROUP BY ALL",
         "entries_size": "SELECT database, sum(size)::BIGINT AS bytes FROM entries GROUP BY ALL",
         "size_histogram": _histogram("entries", "size", metrics.SIZE_BOUNDS, ["database", "status"]),
-        "filtered_count": "SELECT split_part(ns, '.', 1) AS db, count(*) AS n FROM log WHERE ns <> 'admin.$cmd' AND split_part(ns, '.', 1) IN ('db3', 'db6') GROUP BY ALL",
+        "filtered_count": """SELECT db, count(*) AS n FROM (
+          SELECT split_part(ns, '.', 1) AS db FROM log WHERE ns <> 'admin.$cmd' UNION ALL SELECT db FROM parts WHERE part <> 'own') WHERE db IN ('db3', 'db6') GROUP BY ALL""",
         "interval_max": "SELECT database, status, ts_t // 60 * 60 AS window_start_s, ts_t // 60 * 60 + 60 AS visible_from_s, max(size) AS max_size FROM entries GROUP BY ALL",
         "interval_max_report": "SELECT database, status, max(size) AS max_size FROM entries WHERE ts_t // 3600 = (SELECT max(ts_t) // 3600 - 1 FROM entries) GROUP BY ALL",
-        "last_staleness": "SELECT shard AS ordinal, arg_max(ts_i % 7, {'a': ts_t, 'b': ts_i, 'c': tx_idx}) AS staleness_s FROM sharded GROUP BY ALL",
-        "pre_retry_staleness": """SELECT ordinal, batch, ts_i % 7 AS staleness_s FROM (
-          SELECT shard AS ordinal, ts_i, row_number() OVER (PARTITION BY shard ORDER BY ts_t, ts_i, tx_idx) - 1 AS r, r // 25 AS batch FROM sharded) WHERE r % 25 = 0""",
+        "last_staleness": "SELECT shard AS ordinal, arg_max(ts_i % 7, {'a': ts_t, 'b': ts_i, 'c': tx_idx})::DOUBLE AS staleness_s FROM sharded GROUP BY ALL",
+        "pre_retry_staleness": "SELECT ordinal, batch, (ts_i % 7)::DOUBLE AS staleness_s FROM batched WHERE r % 25 = 0",
         "unprocessable_count": "SELECT sum(bad)::BIGINT AS n FROM proc",
         "unprocessable_count_deep": "SELECT sum(2 * bad)::BIGINT AS n FROM proc",
-        "processed_messages": "SELECT CASE WHEN arrival_s % 97 = 0 THEN 'failed' ELSE 'sent' END AS status, count(*) AS n FROM status GROUP BY ALL",
+        "processed_messages": "SELECT status, sum(size)::BIGINT AS n FROM sent GROUP BY ALL",
         "batch_assign": "SELECT shard, ts_i, tx_idx, (row_number() OVER (PARTITION BY shard ORDER BY ts_t, ts_i, tx_idx) - 1) // 25 AS batch FROM sharded",
-        "batch_size_histogram": _histogram(
-            "(SELECT shard AS ordinal, count(*) AS size FROM (SELECT shard, (row_number() OVER (PARTITION BY shard ORDER BY ts_t, ts_i, tx_idx) - 1) // 25 AS batch FROM sharded) GROUP BY shard, batch)",
-            "size", metrics.BATCH_BOUNDS, ["ordinal"],
-        ),
-        "last_entry_staleness": """SELECT CASE WHEN published THEN 'published' ELSE 'duplicate' END AS status,
+        "batch_size_histogram": _histogram("sent", "size", metrics.BATCH_BOUNDS, ["ordinal", "status"]),
+        "last_entry_staleness": """SELECT shard AS ordinal, CASE WHEN published THEN 'published' ELSE 'duplicate' END AS status,
           arg_max(greatest(arrival_s - ts_t, 0), {'a': ts_t, 'b': ts_i, 'c': tx_idx, 'd': arrival_s}) AS staleness_s FROM status GROUP BY ALL""",
-        "staleness_histogram": _histogram("(SELECT CASE WHEN published THEN 'published' ELSE 'duplicate' END AS status, greatest(arrival_s - ts_t, 0) AS s FROM status)", "s", metrics.STALENESS_BOUNDS, ["status"]),
-        "oldest_pending_age": "SELECT shard AS ordinal, (SELECT max(ts_t) FROM log) - min(ts_t) AS age_s FROM sharded WHERE ts_i * 10 >= (SELECT max(ts_i) FROM log) * 9 GROUP BY ALL",
+        "staleness_histogram": _histogram("(SELECT shard AS ordinal, CASE WHEN published THEN 'published' ELSE 'duplicate' END AS status, greatest(arrival_s - ts_t, 0) AS s FROM status)", "s", metrics.STALENESS_BOUNDS, ["ordinal", "status"]),
+        "oldest_pending_age": """SELECT ordinal, client_index, coalesce((SELECT max(ts_t) FROM log) - min(CASE WHEN (s.ts_t, s.ts_i) > (p.t, p.i) THEN s.ts_t END), 0)::BIGINT AS age_s
+          FROM (SELECT shard AS ordinal, CASE op WHEN 'i' THEN 0 ELSE 1 END::INTEGER AS client_index, max(ts_t) AS t, arg_max(ts_i, {'a': ts_t, 'b': ts_i}) AS i FROM sharded WHERE op IN ('i', 'd') GROUP BY ALL) p
+          JOIN sharded s ON s.shard = p.ordinal GROUP BY ordinal, client_index""",
         "ordered_per_db": "SELECT parallelism_key, ts_i, tx_idx, row_number() OVER (PARTITION BY parallelism_key ORDER BY ts_t, ts_i, tx_idx)::INTEGER AS place FROM pubs",
         "shard_route": "SELECT shard, count(*) AS n, count(DISTINCT parallelism_key) AS n_databases FROM sharded GROUP BY ALL",
     }.items()
@@ -183,7 +186,7 @@ SQL = {
     "resume_decision": _with(_DECISION, _decisions("fail")),
     "resume_decision_from_end": _with(_DECISION, _decisions("end")),
     "resume_gap_histogram": _with(
-        _histogram("(SELECT as_of_t - stored_t AS gap, CASE decision WHEN 'resume' THEN 'success' ELSE 'too_old' END AS status FROM decisions WHERE decision IN ('resume', 'end') AND stored_t IS NOT NULL)", "gap", metrics.GAP_BOUNDS, ["status"]),
+        _histogram("(SELECT CASE WHEN store_failed THEN 0 ELSE as_of_t - stored_t END AS gap, CASE WHEN decision = 'resume' THEN 'success' ELSE 'failed' END AS status FROM decisions WHERE store_failed OR stored_t IS NOT NULL)", "gap", metrics.GAP_BOUNDS, ["status"]),
         _decisions("fail"),
     ),
 }

@@ -30,8 +30,7 @@ def _ops(spark, sf_dir) -> DataFrame:
 
 
 def _processed(spark, sf_dir, deep: bool = False) -> DataFrame:
-    log = _log(spark, sf_dir).withColumn("size", F.octet_length("raw").cast("long")).drop("raw")
-    return publish.from_log(log, changelog.derived_denylist(spark), deep)
+    return publish.from_log(_log(spark, sf_dir).drop("raw"), changelog.derived_denylist(spark), deep)
 
 
 def _pubs(spark, sf_dir) -> DataFrame:
@@ -43,7 +42,8 @@ def _fields(df: DataFrame) -> DataFrame:
 
 
 def _entries(spark, sf_dir) -> DataFrame:
-    return metrics.entry_metrics(_processed(spark, sf_dir))
+    log = _log(spark, sf_dir).withColumn("size", F.octet_length("raw").cast("long")).drop("raw")
+    return metrics.entry_metrics(log, changelog.derived_denylist(spark))
 
 
 def publications(spark, sf_dir):
@@ -94,7 +94,7 @@ def publish_log(spark, sf_dir):
 
 
 def _two_instances(spark, sf_dir) -> DataFrame:
-    p = _pubs(spark, sf_dir).select("ts_t", "ts_i", "tx_idx", "msg", "wall")
+    p = publish.sharded(_pubs(spark, sf_dir), SHARDS).select("ts_t", "ts_i", "tx_idx", "msg", "wall", "shard")
     a = p.withColumns({"instance": F.lit(1), "arrival_s": F.unix_seconds("wall")})
     b = p.withColumns({"instance": F.lit(2), "arrival_s": F.unix_seconds("wall") + F.col("ts_i") % 300})
     return a.unionByName(b).drop("wall")
@@ -299,7 +299,7 @@ def size_histogram(spark, sf_dir):
 
 
 def filtered_count(spark, sf_dir):
-    return filters.filtered(_named(spark, sf_dir), changelog.derived_denylist(spark)).groupBy("db").agg(F.count(F.lit(1)).alias("n"))
+    return flatten.filtered(_log(spark, sf_dir).drop("raw"), changelog.derived_denylist(spark)).groupBy("db").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _maxima(spark, sf_dir) -> DataFrame:
@@ -313,32 +313,41 @@ def interval_max(spark, sf_dir):
 def interval_max_report(spark, sf_dir):
     """By the hour: what a reader at the last entry's time sees."""
     e = _entries(spark, sf_dir)
-    at = e.agg(F.max("wall").alias("at"))
     maxima = metrics.interval_max(e, "wall", "size", ["database", "status"], "1 hour")
-    return metrics.interval_report(maxima.crossJoin(F.broadcast(at)), F.col("at"), ["database", "status"], 3600).withColumnRenamed("value", "max_size")
+    return metrics.interval_report(maxima, e.agg(F.max("wall")).scalar(), ["database", "status"], 3600).withColumnRenamed("value", "max_size")
+
+
+def _arrived(spark, sf_dir) -> DataFrame:
+    """Publications with what their staleness is when they are read: up to six seconds after their time."""
+    p = publish.sharded(_pubs(spark, sf_dir), SHARDS)
+    return p.withColumn("stale", metrics.staleness(F.timestamp_seconds(F.col("ts_t") + F.col("ts_i") % 7), F.timestamp_seconds("ts_t")))
 
 
 def last_staleness(spark, sf_dir):
-    p = publish.sharded(_pubs(spark, sf_dir), SHARDS).withColumn("s", (F.col("ts_i") % 7).cast("long"))
-    return p.groupBy(F.col("shard").alias("ordinal")).agg(F.max_by("s", F.struct("ts_t", "ts_i", "tx_idx")).alias("staleness_s"))
+    return _arrived(spark, sf_dir).groupBy(F.col("shard").alias("ordinal")).agg(F.max_by("stale", F.struct("ts_t", "ts_i", "tx_idx")).alias("staleness_s"))
 
 
 def pre_retry_staleness(spark, sf_dir):
-    b = publish.batches(publish.sharded(_pubs(spark, sf_dir), SHARDS), 25)
-    return metrics.head_staleness(b, (F.col("ts_i") % 7).cast("long"))
+    return metrics.head_staleness(publish.batches(_arrived(spark, sf_dir), 25), F.col("stale"))
 
 
 def resume_gap_histogram(spark, sf_dir):
-    d = resume_decision(spark, sf_dir).where("decision in ('resume', 'end') and stored_t is not null").selectExpr("as_of_t - stored_t as gap_s", "if(decision = 'resume', 'success', 'too_old') as status")
-    return metrics.histogram(d, "gap_s", metrics.GAP_BOUNDS, ["status"])
+    return metrics.histogram(resume.gaps(resume_decision(spark, sf_dir)), "gap_s", metrics.GAP_BOUNDS, ["status"])
 
 
 def unprocessable_count(spark, sf_dir, deep: bool = False):
     return _processed(spark, sf_dir, deep).agg(F.sum("n_bad").cast("long").alias("n"))
 
 
+def _sent(spark, sf_dir) -> DataFrame:
+    """(ordinal, status, size) of batches sent to a destination that refuses those whose first publication's number divides by 97."""
+    b = publish.batches(publish.sharded(_pubs(spark, sf_dir), SHARDS), 25).groupBy(F.col("shard").alias("ordinal"), "batch")
+    b = b.agg(F.count(F.lit(1)).alias("size"), F.min_by("ts_i", F.struct("ts_t", "ts_i", "tx_idx")).alias("head"))
+    return b.select("ordinal", F.when(F.col("head") % 97 == 0, "failed").otherwise("sent").alias("status"), "size")
+
+
 def processed_messages(spark, sf_dir):
-    return publish_status(spark, sf_dir).groupBy(F.when(F.col("arrival_s") % 97 == 0, "failed").otherwise("sent").alias("status")).agg(F.count(F.lit(1)).alias("n"))
+    return _sent(spark, sf_dir).groupBy("status").agg(F.sum("size").alias("n"))
 
 
 def batch_assign(spark, sf_dir):
@@ -347,28 +356,29 @@ def batch_assign(spark, sf_dir):
 
 
 def batch_size_histogram(spark, sf_dir):
-    b = batch_assign(spark, sf_dir).groupBy("shard", "batch").agg(F.count(F.lit(1)).alias("n"))
-    return metrics.histogram(b.withColumnsRenamed({"shard": "ordinal", "n": "size"}), "size", metrics.BATCH_BOUNDS, ["ordinal"])
+    return metrics.histogram(_sent(spark, sf_dir), "size", metrics.BATCH_BOUNDS, ["ordinal", "status"])
 
 
 def _statuses(spark, sf_dir) -> DataFrame:
-    p = publish_status(spark, sf_dir)
-    return p.withColumn("staleness_s", F.greatest(F.col("arrival_s") - F.col("ts_t"), F.lit(0)).cast("long"))
+    d = dedupe.with_ttl(_two_instances(spark, sf_dir), 150, carry=["shard"])
+    stale = F.greatest(F.col("arrival_s") - F.col("ts_t"), F.lit(0)).cast("long")
+    return d.select("ts_t", "ts_i", "tx_idx", "arrival_s", F.col("shard").alias("ordinal"), F.when(F.col("published"), "published").otherwise("duplicate").alias("status"), stale.alias("staleness_s"))
 
 
 def last_entry_staleness(spark, sf_dir):
-    return _statuses(spark, sf_dir).groupBy("status").agg(F.max_by("staleness_s", F.struct("ts_t", "ts_i", "tx_idx", "arrival_s")).alias("staleness_s"))
+    return _statuses(spark, sf_dir).groupBy("ordinal", "status").agg(F.max_by("staleness_s", F.struct("ts_t", "ts_i", "tx_idx", "arrival_s")).alias("staleness_s"))
 
 
 def staleness_histogram(spark, sf_dir):
-    return metrics.histogram(_statuses(spark, sf_dir), "staleness_s", metrics.STALENESS_BOUNDS, ["status"])
+    return metrics.histogram(_statuses(spark, sf_dir), "staleness_s", metrics.STALENESS_BOUNDS, ["ordinal", "status"])
 
 
 def oldest_pending_age(spark, sf_dir):
-    """Age, at the last entry's time, of the oldest publication of each shard that lies in the log's last tenth by number."""
+    """Two destinations: one has each shard up to its last insert, the other up to its last removal; as of the log's last entry."""
     p = publish.sharded(_pubs(spark, sf_dir), SHARDS)
-    last = _log(spark, sf_dir).agg(F.max("ts_t").alias("as_of"), F.max("ts_i").alias("n"))
-    return p.crossJoin(F.broadcast(last)).where("ts_i * 10 >= n * 9").groupBy(F.col("shard").alias("ordinal")).agg((F.max("as_of") - F.min("ts_t")).alias("age_s"))
+    client = F.when(F.col("op") == "i", 0).when(F.col("op") == "d", 1).alias("client_index")
+    at = p.groupBy(F.col("shard").alias("ordinal"), client).agg(F.max(F.struct("ts_t", "ts_i")).alias("x")).where("client_index is not null").select("ordinal", "client_index", "x.ts_t", "x.ts_i")
+    return metrics.oldest_pending(p, at, _log(spark, sf_dir).agg(F.max("ts_t")).scalar())
 
 
 def ordered_per_db(spark, sf_dir):

@@ -5,40 +5,37 @@ from pyspark.sql import functions as F
 
 from rivulet.functions import documents, names, positions
 
-CHANGED = [  # (op, document, shallow fields, bad, deep fields, bad)
-    ("i", {"foo": "a", "bar": 10}, "bar,foo", 0, None, 0),
-    ("u", {"foo": "a", "bar": 10}, "bar,foo", 0, None, 0),
-    ("d", {"foo": "a", "bar": 10}, "", 0, None, 0),
-    ("u", {"$set": {"foo": "a", "bar": {"xxx": 1}, "baz.qux": 1}, "$unset": {"qax": True}}, "bar,baz.qux,foo,qax", 0, None, 0),
-    ("u", {"$set": {}}, "", 0, None, 0),
-    ("u", {"weird": "thing", "$set": {"foo": "a"}}, "foo", 1, None, 1),
+#: Own documents for each rule: (op, document, shallow fields, bad, deep fields, bad).
+CHANGED = [
+    ("i", {"name": "n", "size": 3}, "name,size", 0, None, 0),
+    ("u", {"name": "n", "size": 3}, "name,size", 0, None, 0),
+    ("d", {"name": "n", "size": 3}, "", 0, None, 0),
+    ("u", {"$set": {"p": 1, "q": {"r": 2}, "s.t": 3}, "$unset": {"v": ""}}, "p,q,s.t,v", 0, None, 0),
+    ("u", {"$unset": {}}, "", 0, None, 0),
+    ("u", {"$inc": 5, "$set": {"p": 1}}, "p", 1, None, 1),
     ("u", {"$set": '{"k":1}', "$unset": {"x": 1}}, "x", 1, None, 1),
     ("u", {"$set": None}, "", 1, None, 1),
-    ("u", {"$v": 2, "diff": {"i": {"a": 1, "b": 2}, "u": {"c": 1, "d": 2}, "d": {"e": 1, "f": 2}, "sg": 10, "sfoobar": {}}}, "a,b,c,d,e,f,foobar,g", 0, "a,b,c,d,e,f", 1),
+    ("u", {"$v": 2, "diff": {"i": {"p": 1}, "u": {"q": 2, "r": 3}, "d": {"t": False}, "sv": 4, "sw": {}}}, "p,q,r,t,v,w", 0, "p,q,r,t", 1),
     ("u", {"$v": 2, "diff": {}}, "", 0, "", 0),
-    ("u", {"$v": 2, "diff": {"i": 10, "otherwierd": "thing", "sfoo": "bar"}}, "foo", 1, "", 3),
-    ("u", {"$v": 2, "diff": {"i": 10, "otherwierd": "thing", "sfoo": {"u": {"x": 1}}}}, "foo", 1, "foo.x", 2),
+    ("u", {"$v": 2, "diff": {"d": [1], "what": 2, "sv": "x"}}, "v", 2, "", 3),
+    ("u", {"$v": 2, "diff": {"u": None, "what": 2, "sv": {"i": {"x": {"y": 1}}}}}, "v", 2, "v.x.y", 2),
     ("u", {"$v": "2", "diff": {"i": {"a": 1}}}, "$v,diff", 0, None, 0),
     ("u", {"$v": 1, "diff": {"i": {"a": 1}}}, "$v,diff", 0, None, 0),
     ("u", {"$v": 2}, "$v", 0, None, 0),
 ]
 
+#: Own diffs for each rule and their paths.
 DEEP = [
-    ({"scustom": {"sEJSON$value": {"u": {"EJSONtail": "d"}}}}, ["custom.EJSON$value.EJSONtail"]),
-    ({"u": {"d": "2", "oi": "asdas"}}, ["d", "oi"]),
-    ({"sasd": {"a": True, "u0": 2}}, ["asd.0"]),
-    ({"sasd": {"a": True, "u0": None}}, ["asd.0"]),
-    ({"i": {"a": {"b": 2}}}, ["a.b"]),
-    ({"u": {"count": 1}, "i": {"nested": {"state": {}}}}, ["count", "nested.state"]),
-    ({"sa": {"i": {"b": 3, "c": 1}}}, ["a.b", "a.c"]),
-    ({"sa": {"d": {"b": False}}}, ["a.b"]),
-    ({"u": {"c": "bar"}, "sb": {"a": True, "u0": 2}}, ["b.0", "c"]),
-    ({"sservices": {"sresume": {"u": {"loginTokens": []}}}}, ["services.resume.loginTokens"]),
-    ({"i": {"tShirt": {"sizes": ["small", "medium"]}}}, ["tShirt.sizes"]),
-    ({"slist": {"a": True, "u3": "i", "u4": "h"}}, ["list.3", "list.4"]),
-    ({"sobject": {"u": {"array": ["2", "2"]}}}, ["object.array"]),
-    ({"slayout": {"sids": {"sj4a": {"a": True, "u2": "z"}}}}, ["layout.ids.j4a.2"]),
-    ({"sarray": {"a": True, "s2": {"u": {"a": "something"}}}}, ["array.2.a"]),
+    ({"sone": {"stwo": {"u": {"three": 1}}}}, ["one.two.three"]),
+    ({"u": {"p": 1}, "i": {"o": 2}}, ["o", "p"]),
+    ({"slines": {"a": True, "u7": None}}, ["lines.7"]),
+    ({"i": {"p": {"q": {"r": 1}, "s": []}}}, ["p.q.r", "p.s"]),
+    ({"d": {"p": {}}}, ["p"]),
+    ({"sp": {"d": {"q": False}, "u": {"r": {"t": 1}}}}, ["p.q", "p.r.t"]),
+    ({"sp": {"a": True, "u0": {"x": 1}, "u12": 2}, "u": {"o": "x"}}, ["o", "p.0", "p.12"]),
+    ({"sp": {"sq": {"a": True, "u1": 1}, "i": {"r": 1}}}, ["p.q.1", "p.r"]),
+    ({"sp": {"a": True, "s4": {"u": {"q": 1}}}}, ["p.4.q"]),
+    ({"a": True, "sp": {"a": True}}, []),
 ]
 
 
@@ -103,3 +100,31 @@ def test_destinations(spark):
     got = df.select(*(c.alias(k) for k, c in p.items())).collect()
     assert (got[0].password, got[0].endpoints, got[0].db, got[0].master, got[0].valid) == ("pw", ["h1:1", "h2:2"], 3, "m", True)
     assert [r.valid for r in got] == [True, False, False]
+
+
+SENTINELS = [  # (URL, password, endpoints, db, master); None if it is none
+    ("redis-sentinel://h:1/99999999999", "", ["h:1"], 99999999999, ""),
+    ("redis-sentinel://h:1/99999999999999999999", None, None, None, None),
+    ("redis-sentinel://h:1?sentinelMasterId=a%2Fb+c", "", ["h:1"], 0, "a/b c"),
+    ("redis-sentinel://h:1?x=1&sentinelMasterId=m&sentinelMasterId=n", "", ["h:1"], 0, "m"),
+    ("redis-sentinel://h:1?sentinelMasterId=%zz", None, None, None, None),
+    ("redis-sentinel://h:1/", None, None, None, None),
+    ("redis-sentinel://p/w@h:1/2", "p/w", ["h:1"], 2, ""),
+    ("redis-sentinel://h:1:2", None, None, None, None),
+    ("redis-sentinel://:1", None, None, None, None),
+    ("redis-sentinel://", None, None, None, None),
+    ("xredis-sentinel://h:1", None, None, None, None),
+]
+
+
+def test_sentinel_urls(spark):
+    df = spark.createDataFrame([(i, u) for i, (u, *_) in enumerate(SENTINELS)], "i int, u string")
+    got = df.select("i", *(c.alias(k) for k, c in names.sentinel_parts(F.col("u")).items())).orderBy("i").collect()
+    assert [(r.password, r.endpoints, r.db, r.master) for r in got] == [x[1:] for x in SENTINELS]
+    for url, password, ends, db, master in SENTINELS:
+        if ends is None:
+            with pytest.raises(ValueError):
+                names.parse_destination(url)
+        else:
+            d = names.parse_destination(url)
+            assert (d["password"], d["endpoints"], d["db"], d["master"]) == (password, ends, db, master)

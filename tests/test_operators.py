@@ -87,7 +87,7 @@ def test_denied_inner_operations_take_no_number_and_deep_ones_are_told_of(spark)
     p = publish.from_log(log, deny)
     assert [(r.ts_t, r.tx_idx) for r in p.where("error is null").orderBy("ts_t", "tx_idx").collect()] == [(1, 0), (1, 2), (4, 0)]
     assert [(r.ts_t, r.error) for r in publish.dead_letters(p).collect()] == [(2, "transactions nested too deep")]
-    assert filters.filtered(decode.with_names(log), deny).count() == 1
+    assert [(r.ts_t, r.db) for r in flatten.filtered(log, deny).orderBy("ts_t").collect()] == [(1, "no"), (3, "no")]  # inner operations count too
 
 
 def test_decode_envelope(spark):
@@ -143,6 +143,35 @@ def test_start_position():
     assert at == (1000, 0) and isinstance(e, OSError)
 
 
+def test_gaps(spark):
+    df = spark.createDataFrame([(970, False, 5, 1000), (880, False, 5, 1000), (None, False, 5, 1000), (970, True, 5, 1000), (None, True, 5, 1000)], "stored_t long, store_failed boolean, end_t long, as_of_t long")
+    assert sorted(tuple(r) for r in resume.gaps(resume.resume_decisions(df, 60)).collect()) == [("failed", 0), ("failed", 0), ("failed", 120), ("success", 30)]
+    seen = []
+    resume.start_position(lambda: (970, 0), lambda: (1, 1), 1000.7, 60, observe=lambda *x: seen.append(x))
+    resume.start_position(lambda: (880, 0), lambda: (1, 1), 1000, 60, observe=lambda *x: seen.append(x))
+    resume.start_position(lambda: None, lambda: (1, 1), 1000, 60, observe=lambda *x: seen.append(x))
+    assert seen == [("success", 30), ("failed", 120)]
+
+
+def test_entry_metrics(spark):
+    """Status and database of an entry without its operations being brought together again; entries of equal position stay two."""
+    bad = {"op": "i", "ns": "q.x", "o": {"_id": 5}}
+    log = log_of(
+        spark,
+        (1, 1, "i", "a.b", {"_id": "x"}, None), (1, 1, "i", "b.b", {"_id": "y"}, None), (2, 1, "i", "a.b", {"_id": 5}, None), (3, 1, "i", "a.system.x", {"_id": "x"}, None),
+        (4, 1, "c", "admin.$cmd", {"applyOps": [{"op": "i", "ns": "noid.x", "o": {"z": 1}}, bad, op("d", "k", "r.x")]}, None), (5, 1, "i", "", {"_id": "x"}, None),
+    ).withColumn("size", F.lit(7).cast("long"))
+    got = sorted((r.ts_t, r.database, r.status) for r in metrics.entry_metrics(log).collect())
+    assert got == [(1, "a", "processed"), (1, "b", "processed"), (4, "q", "error"), (5, "(no database)", "processed")]
+    assert "Exchange" not in metrics.entry_metrics(log)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_oldest_pending(spark):
+    pubs = spark.createDataFrame([(0, 5, 1), (0, 7, 1), (1, 4, 1)], "shard int, ts_t long, ts_i long")
+    at = spark.createDataFrame([(0, 0, 5, 1), (0, 1, 9, 0), (1, 0, 4, 0), (1, 1, 4, 1)], "ordinal int, client_index int, ts_t long, ts_i long")
+    assert sorted(tuple(r) for r in metrics.oldest_pending(pubs, at, F.lit(10)).collect()) == [(0, 0, 3), (0, 1, 0), (1, 0, 6), (1, 1, 0)]
+
+
 def test_streak(spark):
     s = resume.Streak()
     assert [s.stopped(x) for x in (1, 1, 1, 1, 1, 60, 2)] == [(1, "warn"), (2, "warn"), (3, "warn"), (4, "warn"), (5, "error"), (1, "warn"), (2, "warn")]
