@@ -505,7 +505,7 @@ def test_vectors_recall(spark):
     """The forest with its own parameters against all pairs of check_s."""
     sf = "/root/testdata/check_s"
     got = {r.vec_id: r.n_links for r in embeddings.op6_near_vectors(spark, sf).collect()}
-    rows = duckdb.sql(f"SELECT vec_id, label, embedding FROM '{sf}/embeddings.parquet/*'").fetchall()
+    rows = [tuple(r) for r in spark.read.parquet(f"{sf}/embeddings.parquet").select("vec_id", "label", "embedding").collect()]
     by = defaultdict(list)
     for i, label, v in rows:
         if label is not None and v and all(x is not None and np.isfinite(x) for x in v) and any(v):
