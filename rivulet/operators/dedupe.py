@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StructField, StructType
 
 KEY = ["ts_t", "ts_i", "tx_idx"]
 
@@ -21,16 +22,25 @@ def first_only(df: DataFrame, order: str = "arrival") -> DataFrame:
 def with_ttl(df: DataFrame, ttl_s: float, order: str = "arrival_s", carry: list[str] = ()) -> DataFrame:
     """Keys with each arrival (seconds) and whether it publishes: the first, and each that comes ttl or more after the last that did.
 
-    Duplicates do not prolong the time.  A key's arrivals, a few copies each, are folded in order.
+    Duplicates do not prolong the time.  A key's arrivals are folded in order as they are read, so
+    memory does not grow with the copies of a key.  Rows without an arrival are left out.
     carry: columns that a key's rows agree in.
     """
-    a = df.groupBy(*KEY).agg(F.sort_array(F.collect_list(order)).alias("a"), *(F.min(c).alias(c) for c in carry))
-    zero = F.struct(F.lit(None).cast("double").alias("last"), F.array().cast("array<boolean>").alias("out"))
-
-    def step(acc, x):
-        go = acc["last"].isNull() | (x.cast("double") - acc["last"] >= ttl_s)
-        return F.struct(F.when(go, x.cast("double")).otherwise(acc["last"]).alias("last"), F.concat(acc["out"], F.array(go)).alias("out"))
-
-    a = a.withColumn("out", F.aggregate("a", zero, step)["out"])
-    z = F.explode(F.arrays_zip("a", "out")).alias("z")
-    return a.select(*KEY, *carry, z).select(*KEY, *carry, F.col("z.a").alias(order), F.col("z.out").alias("published"))
+    columns = [*KEY, *carry, order]
+    a = df.where(F.col(order).isNotNull()).select(*columns, F.col(order).cast("double").alias("_at"))
+    a = a.repartition(*KEY).sortWithinPartitions(*KEY, "_at")
+
+    def fold(batches):
+        import pyarrow as pa
+
+        key = last = None  # kept from batch to batch, since a key's arrivals may go on in the next
+        for batch in batches:
+            out = []
+            for k, at in zip(zip(*(batch.column(c).to_pylist() for c in KEY), strict=True), batch.column("_at").to_pylist(), strict=True):
+                go = k != key or not at - last < ttl_s
+                if go:
+                    key, last = k, at
+                out.append(go)
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), pa.array(out, pa.bool_())], [*columns, "published"])
+
+    return a.mapInArrow(fold, StructType([*a.schema.fields[:-1], StructField("published", BooleanType())]))

@@ -187,6 +187,17 @@ def test_dedupe(spark):
     assert sorted((r.tx_idx, r.arrival_s) for r in dedupe.first_only(df, "arrival_s").collect()) == [(0, 0), (1, 5)]
 
 
+def test_ttl_of_a_key_with_many_copies(spark):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        df = spark.range(1000).selectExpr("1L as ts_t", "1L as ts_i", "id % 2 as tx_idx", "id as arrival_s", "'d' as db").unionByName(spark.sql("select 1L as ts_t, 1L as ts_i, 0L as tx_idx, null as arrival_s, 'd' as db"))
+        got = dedupe.with_ttl(df, 150, carry=["db"]).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert len(got) == 1000 and {r.db for r in got} == {"d"}
+    assert sorted((r.tx_idx, r.arrival_s) for r in got if r.published) == [(k, 150 * i + k) for k in (0, 1) for i in range(7)]
+
+
 def test_histogram_and_interval(spark):
     df = spark.createDataFrame([("a", 0), ("a", 8), ("a", 9), ("a", 10**12), ("b", 5)], "k string, v long")
     got = {(r.k, r.le): r.n for r in metrics.histogram(df, "v", metrics.SIZE_BOUNDS, ["k"]).collect()}
